@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rostrum.llm import bodies, packing, tokenize
+from rostrum.llm import bodies, packing, recordings, tokenize
 from rostrum.session import table
 
 
@@ -12,6 +12,10 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     return bodies.map_titles(table(spark, sf, "youtube_videos"), table(spark, sf, "committees"))
 
 
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    return recordings.find_repeats(table(spark, sf, "files"), table(spark, sf, "committees"))
+
+
 def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
     return tokenize.encode_corpus(table(spark, sf, "documents"))
 
@@ -26,6 +30,7 @@ def p8_report(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found,
+    "p6_found": p6_found,
     "p7_ids": p7_ids,
     "p8_containers": p8_containers,
     "p8_report": p8_report,
