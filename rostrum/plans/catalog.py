@@ -2,6 +2,33 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from pyspark.sql import DataFrame, SparkSession
+
+from rostrum.operators import bitemporal
+from rostrum.session import table
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return bitemporal.members_in_force(*(table(spark, sf, t) for t in ("video_index", "files", "terms", "sessions")))
+
+
+QUERIES: dict = {"p5_found": p5_found}
+
+ORACLE_SQL: dict[str, str] = {
+    "p5_found": """
+WITH s AS (SELECT DISTINCT v.file_id, v.linked_id AS person_id, f.date AS d
+           FROM video_index v LEFT JOIN (SELECT id, min(date) AS date FROM files GROUP BY id) f ON f.id = v.file_id
+           WHERE v.type = 'legislator' AND v.linked_id IS NOT NULL AND coalesce(v.ignored, 'n') <> 'y' AND v.file_id IS NOT NULL),
+t AS (SELECT s.file_id, s.person_id, t.id, t.date_ended,
+             row_number() OVER (PARTITION BY s.file_id, s.person_id ORDER BY t.date_started DESC, t.date_created DESC, t.id DESC) AS r, s.d
+      FROM s JOIN terms t ON t.person_id = s.person_id AND CAST(t.date_created AS DATE) <= s.d AND t.date_started <= s.d),
+e AS (SELECT s.file_id, s.person_id, e.id, e.date_ended,
+             row_number() OVER (PARTITION BY s.file_id, s.person_id ORDER BY e.date_started DESC, e.id DESC) AS r
+      FROM s JOIN sessions e ON e.date_started <= s.d)
+SELECT s.file_id, s.person_id,
+       CAST(CASE WHEN t.id IS NOT NULL AND (t.date_ended IS NULL OR t.date_ended >= s.d) THEN t.id ELSE 0 END AS INT) AS term_id,
+       CAST(CASE WHEN e.id IS NOT NULL AND (e.date_ended IS NULL OR e.date_ended >= s.d) THEN e.id ELSE 0 END AS INT) AS session_id
+FROM s LEFT JOIN t ON t.file_id = s.file_id AND t.person_id = s.person_id AND t.r = 1
+       LEFT JOIN e ON e.file_id = s.file_id AND e.person_id = s.person_id AND e.r = 1""",
+}
 FLAGSHIP = "p5_found"
