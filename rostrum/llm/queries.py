@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rostrum.llm import bodies, packing, recordings, tokenize
+from rostrum.llm import bodies, packing, recordings, runs, tokenize
 from rostrum.session import table
 
 
@@ -12,6 +12,14 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     return bodies.map_titles(table(spark, sf, "youtube_videos"), table(spark, sf, "committees"))
 
 
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    return runs.found(table(spark, sf, "video_index"))
+
+
+def p3_events(spark: SparkSession, sf: str) -> DataFrame:
+    return runs.caption_runs(table(spark, sf, "video_index"))
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return recordings.find_repeats(table(spark, sf, "files"), table(spark, sf, "committees"))
 
@@ -30,6 +38,8 @@ def p8_report(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found,
+    "p3_found": p3_found,
+    "p3_events": p3_events,
     "p6_found": p6_found,
     "p7_ids": p7_ids,
     "p8_containers": p8_containers,
