@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rostrum.llm import bodies, packing, recordings, runs, tokenize
+from rostrum.llm import bodies, packing, persons, recordings, runs, tokenize
 from rostrum.session import table
 
 
@@ -12,6 +12,10 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     return bodies.map_titles(table(spark, sf, "youtube_videos"), table(spark, sf, "committees"))
 
 
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    return persons.found(table(spark, sf, "people"), table(spark, sf, "video_index"))
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return runs.found(table(spark, sf, "video_index"))
 
@@ -38,6 +42,7 @@ def p8_report(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found,
+    "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_events": p3_events,
     "p6_found": p6_found,
