@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rostrum.llm import bodies, packing, persons, recordings, runs, tokenize
+from rostrum.llm import bodies, packing, persons, recordings, runs, tokenize, turns
 from rostrum.session import table
 
 
@@ -24,6 +24,14 @@ def p3_events(spark: SparkSession, sf: str) -> DataFrame:
     return runs.caption_runs(table(spark, sf, "video_index"))
 
 
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return turns.found(table(spark, sf, "video_transcript"), table(spark, sf, "people"))
+
+
+def p4_turns(spark: SparkSession, sf: str) -> DataFrame:
+    return turns.speaker_turns(table(spark, sf, "video_transcript"), table(spark, sf, "people"))
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return recordings.find_repeats(table(spark, sf, "files"), table(spark, sf, "committees"))
 
@@ -45,6 +53,8 @@ QUERIES = {
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_events": p3_events,
+    "p4_found": p4_found,
+    "p4_turns": p4_turns,
     "p6_found": p6_found,
     "p7_ids": p7_ids,
     "p8_containers": p8_containers,
