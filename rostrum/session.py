@@ -16,6 +16,7 @@ def make_session(app: str = "rostrum", cores: int | str = "*", partitions: int =
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
