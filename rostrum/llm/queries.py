@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rostrum.llm import bodies, packing, persons, recordings, runs, tokenize, turns
+from rostrum.llm import bodies, packing, persons, recordings, runs, subjects, tokenize, turns
 from rostrum.session import table
 
 
@@ -48,6 +48,14 @@ def p8_report(spark: SparkSession, sf: str) -> DataFrame:
     return packing.report(p8_containers(spark, sf))
 
 
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return subjects.found(*(table(spark, sf, t) for t in ("documents", "subject_areas", "subject_labels")))
+
+
+def p9_composition(spark: SparkSession, sf: str) -> DataFrame:
+    return subjects.composition(p9_found(spark, sf), table(spark, sf, "documents"))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p2_found": p2_found,
@@ -59,5 +67,7 @@ QUERIES = {
     "p7_ids": p7_ids,
     "p8_containers": p8_containers,
     "p8_report": p8_report,
+    "p9_found": p9_found,
+    "p9_composition": p9_composition,
 }
 ORACLE_SQL: dict[str, str] = {}
