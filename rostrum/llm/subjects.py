@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import ArrayType, DoubleType
 
 from rostrum.session import cut, materialize, spread
 
@@ -78,7 +79,7 @@ def distinctive(docs: DataFrame) -> DataFrame:
     return materialize(whole.unionByName(stems).select("word", F.xxhash64("word").alias("f")), "subject-words")
 
 
-@F.arrow_udf("array<double>")
+@F.arrow_udf(ArrayType(DoubleType()))
 def _sharpen(sums: pa.Array, clamp: pa.Array) -> pa.Array:
     """Subject weights of passages from the sums over their words: clamped, squared,
     weak ones dropped, scaled to 1 or less where few words speak; NULL without evidence."""
