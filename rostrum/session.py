@@ -59,7 +59,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cuts the lineage with a table written to the shared folder."""
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)  # an empty table may have no file
 
 
 def spread(df: DataFrame) -> DataFrame:
