@@ -217,6 +217,9 @@ def _screen(pdf: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
     return pdf.loc[hit, ["fp"]]
 
 
+_STORED = {"fingerprints": "fp long, id int, topic string, n int, recording_id int", "filters": "part int, bits long, filter binary"}
+
+
 class RecordingStore:
     """The accepted records: a fingerprint table and its Bloom filters under path."""
 
@@ -226,7 +229,7 @@ class RecordingStore:
         shared_dir(spark)
 
     def _table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}")
+        return self.spark.read.schema(_STORED[name]).parquet(f"{self.path}/{name}")
 
     def admit(self, batch: DataFrame, least_coverage: float = 0.2) -> DataFrame:
         """(id, recording_id) of every record of the batch; recording_id is the lowest
