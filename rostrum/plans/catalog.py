@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rostrum.functions import bills, similarity, text, times
-from rostrum.operators import bitemporal, clips, context, ingest, quality
+from rostrum.operators import bitemporal, clips, committees, context, ingest, quality, resolve
 from rostrum.session import table
-from rostrum.sources import captions, pages
+from rostrum.sources import captions, feeds, pages
 from rostrum.streaming import clips as stream_clips
 
 TODAY = "2026-01-01"
@@ -506,3 +506,62 @@ def html_table(spark: SparkSession, sf: str) -> DataFrame:
 c AS (SELECT *, sum(b) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM e) SELECT user_id, CAST(min(ts) AS TIMESTAMP) AS start, CAST(max(ts) + INTERVAL 6 HOUR AS TIMESTAMP) AS "end", count(*) AS n_rows FROM c GROUP BY user_id, k""")
 def session_clips(spark: SparkSession, sf: str) -> DataFrame:
     return stream_clips.session_clips(table(spark, sf, "events"), "ts", ["user_id"], "6 hours")
+
+
+# -- resolution --------------------------------------------------------------------------
+
+
+@query("""SELECT id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '\\([RDI](?:-?\\d+)?\\)|district\\s+\\d+|\\s*\\(\\d+\\)', '', 'gi'), '\\s+of\\s+[A-Z][a-z]+', '', 'gi'), '[,()]+', ' ', 'g'), '\\s+', ' ', 'g')) AS cleaned,
+nullif(upper(regexp_extract(raw_text, '\\(([RDI])(?:-?\\d+)?\\)', 1, 'i')), '') AS party
+FROM (SELECT id, raw_text, regexp_replace(trim(regexp_replace(raw_text, '\\s+', ' ', 'g')), '^(?:sen\\.|del\\.|delegate|senator|vice chair|chair|rep\\.|representative)\\s+', '', 'i') AS t FROM (SELECT DISTINCT ON (id) * FROM video_index)
+  WHERE type = 'legislator' AND NOT regexp_matches(raw_text, '\\([A-Za-z][A-Za-z\\s-]+\\)|\\([RDI]\\d+\\)|-', 'i'))""")
+def name_extract(spark: SparkSession, sf: str) -> DataFrame:
+    o = observations(spark, sf).where("type = 'legislator'").where(~F.col("raw_text").rlike(r"(?i)\([A-Za-z][A-Za-z\s-]+\)|\([RDI]\d+\)|-"))
+    return o.select("id", resolve.clean_name(F.col("raw_text")).alias("cleaned"), resolve.party(F.col("raw_text")).alias("party"))
+
+
+@query()
+def resolve_members(spark: SparkSession, sf: str) -> DataFrame:
+    return resolve.resolve_members(*(table(spark, sf, t) for t in ("video_index", "files", "people", "terms", "sessions")), F.lit(TODAY).cast("date"))
+
+
+@query()
+def resolve_bills(spark: SparkSession, sf: str) -> DataFrame:
+    return resolve.resolve_bills(table(spark, sf, "video_index"), bills.parse(F.col("raw_text"))["label"])
+
+
+@query()
+def committee_match(spark: SparkSession, sf: str) -> DataFrame:
+    f = files(spark, sf).where("title IS NOT NULL")
+    label = text.normalize_title(F.regexp_replace("title", r"(?i)^(house|senate)\s+", ""))
+    return committees.match_committees(f.select("id", label.alias("label"), "chamber", F.when(label.contains(":"), "subcommittee").otherwise("committee").alias("kind")), table(spark, sf, "committees"))
+
+
+@query(f"""WITH {FILES_SQL} SELECT p.p_brand, p.p_name AS picked FROM (SELECT p_brand, p_name, row_number() OVER (PARTITION BY p_brand ORDER BY p_size DESC, p_name DESC) AS r FROM part) p WHERE r = 1""")
+def media_pick(spark: SparkSession, sf: str) -> DataFrame:
+    p = table(spark, sf, "part").select("p_brand", F.concat("p_name", F.lit(".mp4")).alias("name"), "p_size", F.lit("none").alias("want"))
+    return committees.largest_media(p, "p_brand", "name", "p_size", "want").select("p_brand", F.regexp_replace("picked", r"\.mp4$", "").alias("picked"))
+
+
+@query()
+def decay_sample(spark: SparkSession, sf: str) -> DataFrame:
+    f = files(spark, sf).select("id", F.datediff(F.lit(TODAY).cast("date"), "date").alias("age"))
+    return committees.decay_sample(f, "id", "age", "run-1")
+
+
+@query(f"""WITH {FILES_SQL}, p AS (SELECT t.file_id, arg_min(t.id, (t.time_start, t.id)) AS first_segment, count(*) AS n FROM (SELECT DISTINCT ON (id) * FROM video_transcript) t GROUP BY t.file_id)
+SELECT f.id, p.first_segment, coalesce(p.n, 0) AS n_segments FROM f LEFT JOIN p ON p.file_id = f.id""")
+def transcript_counts(spark: SparkSession, sf: str) -> DataFrame:
+    t = table(spark, sf, "video_transcript").dropDuplicates(["id"]).groupBy("file_id").agg(F.min_by("id", F.struct("time_start", "id")).alias("first_segment"), F.count("*").alias("n"))
+    return files(spark, sf).select("id").join(t, F.col("id") == F.col("file_id"), "left").select("id", "first_segment", F.coalesce("n", F.lit(0)).alias("n_segments"))
+
+
+@query(f"""WITH {FILES_SQL} SELECT id, 'Delegate Speaker ' || CAST(id AS VARCHAR) AS raw, 'Speaker ' || CAST(id AS VARCHAR) AS name, CAST(0 AS DOUBLE) AS seconds FROM f UNION ALL
+SELECT id, 'Senator Other', 'Other', CAST(id % 600 AS DOUBLE) FROM f""")
+def speaker_feed(spark: SparkSession, sf: str) -> DataFrame:
+    f = files(spark, sf)
+    entry = lambda n, s: F.struct(n.alias("name"), times.clock(s).alias("startTime"))
+    j = F.to_json(F.struct(F.array(entry(F.concat(F.lit("Delegate Speaker "), F.col("id").cast("string")), F.lit(60)), entry(F.lit("Senator Other"), F.col("id") % 600 + 60)).alias("Speakers")))
+    got = feeds.speaker_rows(f.select("id", j.alias("j")), "id", "j")
+    raw = F.when(F.col("pos") == 0, F.concat(F.lit("Delegate Speaker "), F.col("id").cast("string"))).otherwise("Senator Other")
+    return got.select("id", raw.alias("raw"), "name", "seconds")

@@ -94,3 +94,34 @@ def test_streaming_clips(spark, tmp_path):
     seen = []
     stream.drain(source, lambda b, _: seen.extend(r.n_rows for r in stream.session_clips(b, "ts", ["k"]).collect()), str(tmp_path / "cp"))
     assert sorted(seen) == [1, 2]
+
+
+def test_names_and_scores(spark):
+    from rostrum.operators import resolve
+
+    cases = {"Sen. Robert T. Smith (R-6)": "Robert T. Smith", "Senator Jane Doe-Smith (D-42)": "Jane Doe-Smith", "Bob Smith of Richmond": "Bob Smith", "Bob Smith - Richmond": "Bob Smith", "Delegate Keys-Gamarra": "Keys-Gamarra",
+             "Del. C. E. (Cliff) Hayes": "Cliff Hayes", "Del. Robert Tata\nVirgnla Beach (R35)": "Robert Tata", "Del. Candi Mundon King (D42)": "Candi Mundon King"}
+    df = spark.createDataFrame(list(cases.items()), "raw string, want string").select("raw", "want", resolve.clean_name(F.col("raw")).alias("got"))
+    assert [r for r in df.collect() if r.want != r.got] == []
+    s = resolve.name_score
+    assert s("Bob Smith", "Bob Smith") == 100 and s("B0b Smith", "Bob Smith") > 90 and s("John Doe", "Bob Smith") < 50
+    assert s("Mundon King", "Candice P. Mundon King") >= 95 and s("Watts", "Vivian Watts") == 95  # its last word
+    assert 50 <= s("Tom Garrett", "Thomas A. Garrett") < 75
+
+
+def test_committee_directory():
+    from rostrum.operators.committees import Directory
+
+    d = Directory([(1, None, "Waterways and Harbors", "WAH", "house"), (2, 1, "Subcommittee #1", None, "house"), (3, 1, "Dredging and Locks", None, "house")])
+    assert d.match("Waterways & Harbors", "house", "committee") == 1 and d.match("WAH", "House", "committee") == 1
+    assert d.match("Waterways and Harbors: Subcommittee #1", "house", "subcommittee") == 2 and d.match("Dredging and Lockz", "house", "subcommittee") == 3
+    assert d.match("Administrative Law", "house", "committee") is None and d.match(None, "house", "committee") is None and d.match("WAH", "senate", "committee") is None
+
+
+def test_feeds(spark):
+    from rostrum.sources import feeds
+
+    df = spark.createDataFrame([(1, '{"en": [{"Begin": "2024-01-01T00:00:05", "End": "2024-01-01T00:00:07", "Content": "a"}, {"Begin": "x", "End": "y", "Content": "b"}]}'), (2, None)], "id int, j string")
+    assert [tuple(r) for r in feeds.caption_feed(df, "id", "j").collect()] == [(1, 0, 0.0, 2.0, "a")]
+    ag = spark.createDataFrame([(1, '{"agenda": [{"text": "HB 12 and SB 3", "startTime": "0:10"}, {"text": ""}]}'), (2, "bad"), (3, None)], "id int, j string")
+    assert [(r.id, r.bill) for r in feeds.agenda_rows(ag, "id", "j").collect()] == [(1, "HB12")]
