@@ -99,7 +99,7 @@ def test_streaming_clips(spark, tmp_path):
 def test_names_and_scores(spark):
     from rostrum.operators import resolve
 
-    cases = {"Sen. Robert T. Smith (R-6)": "Robert T. Smith", "Senator Jane Doe-Smith (D-42)": "Jane Doe-Smith", "Bob Smith of Richmond": "Bob Smith", "Bob Smith - Richmond": "Bob Smith", "Delegate Keys-Gamarra": "Keys-Gamarra",
+    cases = {"Sen. Robert T. Smith (R-6)": "Robert T. Smith", "Senator Jane Doe-Smith (D-42)": "Jane Doe-Smith", "Bob Smith of Ashland": "Bob Smith", "Bob Smith - Ashland": "Bob Smith", "Delegate Keys-Gamarra": "Keys-Gamarra",
              "Del. C. E. (Cliff) Hayes": "Cliff Hayes", "Del. Robert Tata\nVirgnla Beach (R35)": "Robert Tata", "Del. Candi Mundon King (D42)": "Candi Mundon King"}
     df = spark.createDataFrame(list(cases.items()), "raw string, want string").select("raw", "want", resolve.clean_name(F.col("raw")).alias("got"))
     assert [r for r in df.collect() if r.want != r.got] == []
