@@ -49,30 +49,41 @@ def milliseconds(time: Column) -> Column:
 def marked(text: Column) -> Column:
     """The text without markup, times and sounds, with a cut before each piece and
     each label between name signs."""
+    label = f" {_CUT}{_NAME}$2{_NAME} "
+    stages = (
+        # (what a text must hold for the stage to apply, patterns)
+        (
+            r"[<>&\x00-\x1f\u00a0]",
+            ((r"[\x00-\x08\x0b-\x1f]", " "), (r"<[^<>]{0,40}>", " "), (r"&nbsp;|&#160;|\u00a0", " "), (r"&gt;", ">"), (r"&amp;", "&")),
+        ),
+        (r"[\[(*♪]", ((rf"(?i)[\[(*]+\s*(?:{SOUNDS})\s*[\])*]+", " "), (r"♪+", " "), (r"\*[^*]{0,40}\*", " "))),
+        (r"\d:\d\d", ((r"\[\s*\d{1,2}:\d{2}(?::\d{2})?(?:[.,]\d+)?\s*\]|\(\s*\d{1,2}:\d{2}(?::\d{2})?\s*\)|(?<![\d:])\d{1,2}:\d{2}(?::\d{2})?(?:[.,]\d+)?(?![\d:])", " "),)),
+        (r"[>\-–—]", ((r">>+", f" {_CUT}>> "), (r"^\s*[-–—]+\s+", f"{_CUT}>> "))),
+        # labels: in brackets, of a colon or dash at a piece's start, then inside
+        (r"[\[(]", ((r"[\[(]\s*(\p{Lu}[^\])\[(\x01\x02]{1,50}?)\s*[\])]\s*:?", f" {_CUT}{_NAME}$1{_NAME} "),)),
+        (r":(?:\s|$)", ((rf"(^\s*|{_CUT}>>\s*)({_LABEL})\s*:\s+", "$1" + label),)),
+        (r"\s[-–—]\s", ((rf"(^\s*|{_CUT}>>\s*)({_TITLE}\s+{_LABEL})\s+[-–—]\s+", "$1" + label),)),
+        (
+            r":(?:\s|$)",
+            ((rf"(?<=[.?!,\p{{Ll}}\d])\s+((?:(?:A|THE|The)\s+)?{_LABEL})\s*:\s+", f" {_CUT}{_NAME}$1{_NAME} "), (rf"(^\s*|{_CUT}>>\s*)({_LABEL})\s*:\s*$", "$1" + label)),
+        ),
+    )
     t = F.coalesce(text, F.lit(""))
-    for pattern, put in (
-        (r"[\x00-\x08\x0b-\x1f]", " "),
-        (r"<[^<>]{0,40}>", " "),
-        (r"&nbsp;|&#160;| ", " "),
-        (r"&gt;", ">"),
-        (r"&amp;", "&"),
-        (rf"(?i)[\[(*]+\s*(?:{SOUNDS})\s*[\])*]+", " "),
-        (r"♪+", " "),
-        (r"\[\s*\d{1,2}:\d{2}(?::\d{2})?(?:[.,]\d+)?\s*\]|\(\s*\d{1,2}:\d{2}(?::\d{2})?\s*\)|(?<![\d:])\d{1,2}:\d{2}(?::\d{2})?(?:[.,]\d+)?(?![\d:])", " "),
-        (r"\*[^*]{0,40}\*", " "),
-        (r">>+", f" {_CUT}>> "),
-        (r"^\s*[-–—]+\s+", f"{_CUT}>> "),
-        # labels in brackets, then of a colon or dash at a piece's start, then inside
-        (r"[\[(]\s*(\p{Lu}[^\])\[(\x01\x02]{1,50}?)\s*[\])]\s*:?", f" {_CUT}{_NAME}$1{_NAME} "),
-        (rf"(^\s*|{_CUT}>>\s*)({_LABEL})\s*:\s+", f"$1 {_CUT}{_NAME}$2{_NAME} "),
-        (rf"(^\s*|{_CUT}>>\s*)({_TITLE}\s+{_LABEL})\s+[-–—]\s+", f"$1 {_CUT}{_NAME}$2{_NAME} "),
-        (rf"(?<=[.?!,\p{{Ll}}\d])\s+((?:(?:A|THE|The)\s+)?{_LABEL})\s*:\s+", f" {_CUT}{_NAME}$1{_NAME} "),
-        (rf"(^\s*|{_CUT}>>\s*)({_LABEL})\s*:\s*$", f"$1 {_CUT}{_NAME}$2{_NAME} "),
-    ):
-        t = F.regexp_replace(t, pattern, put)
+    for needs, patterns in stages:
+        t = F.get(F.transform(F.array(t), _stage(needs, patterns)), F.lit(0))  # binds the text once
     return t
 
 
+def _stage(needs: str, patterns: tuple):
+    def replace(x: Column) -> Column:
+        got = x
+        for pattern, put in patterns:
+            got = F.regexp_replace(got, pattern, put)
+        return F.when(x.rlike(needs), got).otherwise(x)
+
+    return replace
+
+
 def spoken(text: Column) -> Column:
     """What is said: without signs, fillers, stutters and stray spaces."""
     t = F.regexp_replace(text, rf"{_NAME}[^{_NAME}]*{_NAME}|{_CUT}|>>+|[\[\]*]", " ")
@@ -113,7 +124,7 @@ def speaker_turns(transcript: DataFrame, people: DataFrame) -> DataFrame:
     seg = transcript.where("id IS NOT NULL AND file_id IS NOT NULL").select(
         "file_id", "id", F.coalesce(milliseconds(F.col("time_start")), F.lit(1 << 40)).alias("start"), marked(F.col("text")).alias("m"), F.lower(F.trim("new_speaker")).alias("flag"), F.col("legislator_id").cast("long").alias("leg")
     )
-    said = F.lower(F.regexp_replace(spoken(F.col("m")), r"[^\p{L}\d]", ""))
+    said = F.lower(F.regexp_replace("m", r"[^\p{L}\d]", ""))
     seg = seg.withColumn("_said", said).groupBy("file_id", "start", F.when(said == "", F.col("id").cast("string")).otherwise(said).alias("_k"))
     seg = seg.agg(F.min_by(F.struct("id", "m", "flag", "leg"), "id").alias("s"))
     piece = seg.select("file_id", "start", "s.*").select("file_id", "start", "id", "flag", "leg", F.posexplode(F.split("m", _CUT)).alias("piece", "t"))
