@@ -112,8 +112,8 @@ class SubjectGraph:
             .select("doc_id", "seed", F.posexplode(sentences(F.col("text"))).alias("sent", "s"))
             .select("doc_id", "seed", "sent", F.explode(words(F.col("s"))).alias("word"))
             .join(vocabulary, "word")
-            .groupBy("doc_id", "sent")
-            .agg(F.collect_set("f").alias("fs"), F.first("seed").alias("seed"))
+            .groupBy("doc_id", "sent", "seed")  # the seed is the document's
+            .agg(F.collect_set("f").alias("fs"))
         )
         self.sents = materialize(found.withColumn("blk", F.floor(F.col("sent") / BLOCK).cast("int")), "subject-sentences")
         text = F.concat_ws(" ", "subject", F.coalesce("description", F.lit("")))
@@ -151,7 +151,7 @@ class SubjectGraph:
         """Labels move from words to passages and back."""
         k = range(len(self.subjects))
         linked = self.sents.select("doc_id", "blk", "seed", F.explode("fs").alias("f")).join(scores, "f")
-        passage = linked.groupBy("doc_id", "blk").agg(F.first("seed").alias("seed"), *(F.sum(F.col("v") * F.col(f"p{i}")).alias(f"s{i}") for i in k))
+        passage = linked.groupBy("doc_id", "blk", "seed").agg(*(F.sum(F.col("v") * F.col(f"p{i}")).alias(f"s{i}") for i in k))
         clamp = F.array(*(F.when(F.array_contains("seed", s), CLAMP).otherwise(1.0) for s in self.subjects))
         passage = passage.select("doc_id", "blk", _sharpen(F.array(*(f"s{i}" for i in k)), clamp).alias("q")).where("q IS NOT NULL")
         back = self.sents.select("doc_id", "blk", "fs").join(passage, ["doc_id", "blk"]).select(F.explode("fs").alias("f"), "q")
