@@ -61,9 +61,30 @@ def combined(a: Column, b: Column) -> Column:
     return 0.3 * levenshtein_similarity(a, b) + 0.5 * jaro_winkler(a, b) + 0.2 * token_set(a, b)
 
 
+def sound(c: Column) -> Column:
+    """Soundex of the letters a to z of a lower-cased text; empty if it has none."""
+    return F.soundex(F.regexp_replace(F.lower(c), "[^a-z]", ""))
+
+
 def same_sound(a: Column, b: Column) -> Column:
-    s = lambda c: F.soundex(F.regexp_replace(F.lower(c), "[^a-z]", ""))
-    return s(a) == s(b)
+    return sound(a) == sound(b)
+
+
+SOUNDS = {c: d for d, letters in {"0": "aeiouy", "1": "bfpv", "2": "cgjkqsxz", "3": "dt", "4": "l", "5": "mn", "6": "r"}.items() for c in letters}
+
+
+def sound_value(text: str) -> str:
+    """The value of ``sound`` in Python; h and w do not part equal codes."""
+    letters = [c for c in text.lower() if "a" <= c <= "z"]
+    if not letters:
+        return ""
+    out, last = letters[0].upper(), SOUNDS.get(letters[0])
+    for c in letters[1:]:
+        code = SOUNDS.get(c, last)
+        if code not in (last, "0", None):
+            out += code
+        last = code
+    return out[:4].ljust(4, "0")
 
 
 @F.arrow_udf(DoubleType())

@@ -14,6 +14,8 @@ from rostrum.functions import similarity, text
 from rostrum.operators import context
 
 THRESHOLD, CONSENSUS, HISTORY = 75.0, 70.0, 65.0
+# Neighbours raise a score by a fifth at most, the party by a twentieth: less cannot reach THRESHOLD.
+LEAST = THRESHOLD / (1.2 * 1.05) - 1e-9
 # Letters and digits taken for each other, one at a time.
 MISREAD = {"0": "Oo", "O": "0", "o": "0", "1": "lIi", "l": "1I", "I": "1l", "5": "Ss", "S": "5", "8": "B", "B": "8", "6": "G", "G": "6"}
 MOST_READINGS = 10
@@ -53,7 +55,8 @@ def _readings(name: str) -> set[str]:
 
 def name_score(raw: str, candidate: str) -> float:
     """0 to 100: 100 equal, 95 equal in another reading or the candidate's last words, 92
-    other words of it in a row, 90 and 85 the last name alone, less for likeness."""
+    other words of it in a row, 90 and 85 the last name alone, less for likeness, which
+    counts a tenth more where both sound the same."""
     low, cand = raw.lower(), candidate.lower()
     if low == cand:
         return 100.0
@@ -72,7 +75,9 @@ def name_score(raw: str, candidate: str) -> float:
         if near > 0.85:
             return near * 80
     shared = len(set(mine) & set(theirs)) / max(1, len(set(mine) | set(theirs)))
-    return min(100.0, (0.7 * _combined(low, cand) + 0.3 * shared) * 100)
+    sound = similarity.sound_value(raw)
+    alike = 1.1 if sound and sound == similarity.sound_value(candidate) else 1.0
+    return min(100.0, (0.7 * _combined(low, cand) + 0.3 * shared) * 100 * alike)
 
 
 def _edits(a: bytes, b: bytes) -> int:
@@ -107,15 +112,16 @@ def candidates(people: DataFrame, terms: DataFrame, sessions: DataFrame, today:
 def best_scores(captions: DataFrame, members: DataFrame) -> DataFrame:
     """(session_id, cleaned, person_id, score) of the best candidates of each distinct
     caption and session. Candidates are met by a word or its first letters shared with
-    the caption, not all members by all captions; a caption that shares none scores below
-    every threshold."""
-    keys = lambda c: F.array_distinct(F.transform(F.filter(F.split(F.lower(c), r"[^\p{L}\d]+"), lambda w: F.length(w) > 2), lambda w: F.substring(w, 1, 3)))
+    the caption, or by its sound, not all members by all captions; a caption that shares
+    none scores below every threshold."""
+    words = lambda c: F.transform(F.filter(F.split(F.lower(c), r"[^\p{L}\d]+"), lambda w: F.length(w) > 2), lambda w: F.substring(w, 1, 3))
+    keys = lambda c: F.array_distinct(F.array_append(words(c), F.concat(F.lit("~"), similarity.sound(c))))
     texts = captions.select("session_id", "cleaned").where("cleaned <> ''").distinct()
     left = texts.select("session_id", "cleaned", F.explode(keys(F.col("cleaned"))).alias("k"))
     right = members.select(F.col("session_id").alias("s"), "person_id", "party", "name", F.explode(keys(F.col("name"))).alias("k2"))
     met = left.join(right, (F.col("session_id") == F.col("s")) & (F.col("k") == F.col("k2"))).select("session_id", "cleaned", "person_id", "party", "name").distinct()
     scored = met.withColumn("score", score("cleaned", "name"))
-    return scored.groupBy("session_id", "cleaned", "person_id", "party").agg(F.max("score").alias("score")).where("score >= 60")
+    return scored.groupBy("session_id", "cleaned", "person_id", "party").agg(F.max("score").alias("score")).where(F.col("score") >= LEAST)
 
 
 def resolve_members(video_index: DataFrame, files: DataFrame, people: DataFrame, terms: DataFrame, sessions: DataFrame, today: Column) -> DataFrame:

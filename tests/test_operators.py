@@ -1,3 +1,4 @@
+import datetime as dt
 import random
 
 from pyspark.sql import functions as F
@@ -125,3 +126,28 @@ def test_feeds(spark):
     assert [tuple(r) for r in feeds.caption_feed(df, "id", "j").collect()] == [(1, 0, 0.0, 2.0, "a")]
     ag = spark.createDataFrame([(1, '{"agenda": [{"text": "HB 12 and SB 3", "startTime": "0:10"}, {"text": ""}]}'), (2, "bad"), (3, None)], "id int, j string")
     assert [(r.id, r.bill) for r in feeds.agenda_rows(ag, "id", "j").collect()] == [(1, "HB12")]
+
+
+def _resolved(spark, captions):
+    """(id, source) of the captions resolved against one member."""
+    from rostrum.operators import resolve
+
+    vi = spark.createDataFrame([(i, 1, str(100 * i), "legislator", c, None, None) for i, c in enumerate(captions)], "id int, file_id int, screenshot string, type string, raw_text string, linked_id int, ignored string")
+    files = spark.createDataFrame([(1, dt.date(2020, 1, 9))], "id int, date date")
+    people = spark.createDataFrame([(7, "Stediver, Deborah", "Deborah Stediver"), (8, "Bostwater, Ann", None)], "id int, name string, name_formal string")
+    terms = spark.createDataFrame([(p, "D", dt.date(2019, 1, 1), None) for p in (7, 8)], "person_id int, party string, date_started date, date_ended date")
+    sessions = spark.createDataFrame([(3, dt.date(2020, 1, 1), dt.date(2020, 3, 1))], "id int, date_started date, date_ended date")
+    got = resolve.resolve_members(vi, files, people, terms, sessions, F.lit("2026-01-01").cast("date"))
+    return {r.id: (r.person_id, round(r.confidence, 2)) for r in got.collect()}
+
+
+def test_equal_sound_raises_a_score(spark):
+    from rostrum.functions import similarity
+    from rostrum.operators import resolve
+
+    assert round(resolve.name_score("Deborah Stedivar", "Deborah Stediver"), 2) == 75.33
+    assert resolve.name_score("Tom Garrett", "Thomas A. Garrett") < 75  # T526 and T522
+    words = ["Ashcraft", "Tymczak", "Pfister", "Honeyman", "O'Hara", "Ann Wheelwright", "12", "Hw", "Lloyd"]
+    df = spark.createDataFrame([(w,) for w in words], "w string").select("w", similarity.sound(F.col("w")).alias("s"))
+    assert [r for r in df.collect() if similarity.sound_value(r.w) != r.s] == []
+    assert _resolved(spark, ["Del. Deborah Stedivar"]) == {0: (7, 75.33)}
