@@ -8,7 +8,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, StringType
 
 from rostrum.functions import similarity, text
 from rostrum.operators import context
@@ -109,16 +109,28 @@ def candidates(people: DataFrame, terms: DataFrame, sessions: DataFrame, today:
     return held.select("session_id", "person_id", "party").distinct().join(names, "person_id").withColumn("name", given_first(F.col("name")))
 
 
+@F.arrow_udf(ArrayType(StringType()))
+def _caption_keys(cleaned: pa.Array) -> pa.Array:
+    return pa.array([_keys(c, _readings(c)) for c in cleaned.to_pylist()], pa.list_(pa.string()))
+
+
+@F.arrow_udf(ArrayType(StringType()))
+def _name_keys(name: pa.Array) -> pa.Array:
+    return pa.array([_keys(c, {c.lower(), *c.lower().split()[-1:]}) for c in name.to_pylist()], pa.list_(pa.string()))
+
+
+def _keys(text: str, readings: set[str]) -> list[str]:
+    return sorted({"w" + w for w in text.lower().split()} | {"r" + r for r in readings} | {"s" + s for s in [similarity.sound_value(text)] if s})
+
+
 def best_scores(captions: DataFrame, members: DataFrame) -> DataFrame:
-    """(session_id, cleaned, person_id, score) of the best candidates of each distinct
-    caption and session. Candidates are met by a word or its first letters shared with
-    the caption, or by its sound, not all members by all captions; a caption that shares
-    none scores below every threshold."""
-    words = lambda c: F.transform(F.filter(F.split(F.lower(c), r"[^\p{L}\d]+"), lambda w: F.length(w) > 2), lambda w: F.substring(w, 1, 3))
-    keys = lambda c: F.array_distinct(F.array_append(words(c), F.concat(F.lit("~"), similarity.sound(c))))
+    """(session_id, cleaned, person_id, score) of all candidates of each distinct caption
+    and session that score LEAST or more. Only pairs that can do so are met: they share a
+    word, or a reading of the caption is the name or its last word, or both sound the
+    same. Without any of these a score is at most 0.7 x (0.3 + 0.5) = 56."""
     texts = captions.select("session_id", "cleaned").where("cleaned <> ''").distinct()
-    left = texts.select("session_id", "cleaned", F.explode(keys(F.col("cleaned"))).alias("k"))
-    right = members.select(F.col("session_id").alias("s"), "person_id", "party", "name", F.explode(keys(F.col("name"))).alias("k2"))
+    left = texts.select("session_id", "cleaned", F.explode(_caption_keys("cleaned")).alias("k"))
+    right = members.where("name IS NOT NULL").select(F.col("session_id").alias("s"), "person_id", "party", "name", F.explode(_name_keys("name")).alias("k2"))
     met = left.join(right, (F.col("session_id") == F.col("s")) & (F.col("k") == F.col("k2"))).select("session_id", "cleaned", "person_id", "party", "name").distinct()
     scored = met.withColumn("score", score("cleaned", "name"))
     return scored.groupBy("session_id", "cleaned", "person_id", "party").agg(F.max("score").alias("score")).where(F.col("score") >= LEAST)

@@ -151,3 +151,25 @@ def test_equal_sound_raises_a_score(spark):
     df = spark.createDataFrame([(w,) for w in words], "w string").select("w", similarity.sound(F.col("w")).alias("s"))
     assert [r for r in df.collect() if similarity.sound_value(r.w) != r.s] == []
     assert _resolved(spark, ["Del. Deborah Stedivar"]) == {0: (7, 75.33)}
+
+
+def test_misread_first_letters_meet_their_member(spark):
+    assert _resolved(spark, ["Delegate B0stwater", "Del. 8ostwater"]) == {0: (8, 85.0), 1: (8, 85.0)}
+
+
+def test_candidates_equal_all_pairs(spark, sf):
+    from rostrum.operators import resolve
+    from rostrum.session import table
+
+    people, terms, sessions = (table(spark, sf, t) for t in ("people", "terms", "sessions"))
+    members = resolve.candidates(people, terms, sessions, F.lit("2026-01-01").cast("date")).cache()
+    one = members.groupBy().agg(F.max("session_id")).first()[0]
+    raw = table(spark, sf, "video_index").where("type = 'legislator' AND raw_text IS NOT NULL").select(F.lit(one).alias("session_id"), resolve.clean_name(F.col("raw_text")).alias("cleaned")).distinct().orderBy("cleaned").limit(400).cache()
+    got = {(r.cleaned, r.person_id): r.score for r in resolve.best_scores(raw, members).collect()}
+    names = [(r.person_id, r.name) for r in members.where(F.col("session_id") == one).collect()]
+    want = {}
+    for c in (r.cleaned for r in raw.collect() if r.cleaned):
+        for p, n in names:
+            if (s := resolve.name_score(c, n)) >= resolve.LEAST:
+                want[c, p] = max(s, want.get((c, p), 0))
+    assert want and got == want
