@@ -26,9 +26,11 @@ def clean_name(raw: Column) -> Column:
     before it; party, district and place go."""
     t = F.trim(F.regexp_replace(raw, r"\s+", " "))
     t = F.regexp_replace(t, r"(?i)^(?:sen\.|del\.|delegate|senator|vice chair|chair|rep\.|representative)\s+", "")
-    t = F.regexp_replace(t, r"^.*\((?![RDIrdi](?:-?\d+)?\))([A-Za-z][A-Za-z\s\-]+)\)\s*", "$1 ")
+    t = F.trim(F.regexp_replace(t, r"^.*?\((?![RDIrdi](?:-?\d+)?\))([A-Za-z][A-Za-z\s\-]+)\)\s*", "$1 "))
     # the house form names the town before (R85): two words go if more than three stay
-    t = F.regexp_replace(t, r"(?i)^(\S+ \S+(?: \S+)*?) \S+ \S+ ?\([RDI]\d+\)$", "$1")
+    house = F.trim(F.regexp_replace(F.regexp_replace(t, r"(?i)\([RDI]\d+\)", ""), r"\s+", " "))
+    house = F.regexp_replace(house, r"^(\S+ \S+(?: \S+)*) \S+ \S+$", "$1")
+    t = F.when(t.rlike(r"(?i)\([RDI]\d+\)") & ~t.rlike(r"(?i)\([RDI]-\d+\)"), house).otherwise(t)
     t = F.regexp_replace(t, r"(?i)\([RDI](?:-?\d+)?\)|district\s+\d+|\s*\(\d+\)", "")
     t = F.regexp_replace(F.regexp_replace(t, r"(?i)\s+of\s+[A-Z][a-z]+", ""), r"(?i)\s+-\s*[A-Z][a-z]+$", "")
     return F.trim(F.regexp_replace(F.regexp_replace(t, r"[,()]+", " "), r"\s+", " "))

@@ -520,6 +520,14 @@ def name_extract(spark: SparkSession, sf: str) -> DataFrame:
     return o.select("id", resolve.clean_name(F.col("raw_text")).alias("cleaned"), resolve.party(F.col("raw_text")).alias("party"))
 
 
+@query()
+def name_extract_all(spark: SparkSession, sf: str) -> DataFrame:
+    """name_extract of every caption, also of those its SQL leaves out: hyphens, nicknames
+    and the house form."""
+    o = observations(spark, sf).where("type = 'legislator' AND raw_text IS NOT NULL")
+    return o.select("id", resolve.clean_name(F.col("raw_text")).alias("cleaned"), resolve.party(F.col("raw_text")).alias("party"))
+
+
 @query()
 def resolve_members(spark: SparkSession, sf: str) -> DataFrame:
     return resolve.resolve_members(*(table(spark, sf, t) for t in ("video_index", "files", "people", "terms", "sessions")), F.lit(TODAY).cast("date"))

@@ -173,3 +173,18 @@ def test_candidates_equal_all_pairs(spark, sf):
             if (s := resolve.name_score(c, n)) >= resolve.LEAST:
                 want[c, p] = max(s, want.get((c, p), 0))
     assert want and got == want
+
+
+def test_names_of_all_captions(spark, sf):
+    from rostrum.operators import resolve
+    from rostrum.plans import catalog
+    from rostrum.session import table
+
+    cases = {"Del. Ann Tarn\nDunmarrow (R7),": "Ann Tarn", "Delegate Ann Tarn\nNew Vexley (D17) |": "Ann Tarn New", "Sen Ann Tarn (R-6) ~": "Sen Ann Tarn ~", "Del. A. (Annie) Tarn-Lowe (Ash)": "Annie Tarn-Lowe Ash",
+             "Tarn-Lowe, Ann (D)": "Tarn-Lowe Ann", "Ann Tarn - Yewton": "Ann Tarn", "Delegate (Ann Tarn - Yewton)": "Ann Tarn"}
+    df = spark.createDataFrame(list(cases.items()), "raw string, want string").select("raw", "want", resolve.clean_name(F.col("raw")).alias("got"))
+    assert [r for r in df.collect() if r.want != r.got] == []
+    ids = [r.id for r in table(spark, sf, "video_index").where("type = 'legislator' AND raw_text IS NOT NULL").select("id").distinct().collect()]
+    some = {r.id: (r.cleaned, r.party) for r in catalog.QUERIES["name_extract"](spark, sf).collect()}
+    got = {r.id: (r.cleaned, r.party) for r in catalog.QUERIES["name_extract_all"](spark, sf).collect()}
+    assert sorted(got) == sorted(ids) and len(some) < len(got) and some.items() <= got.items()
