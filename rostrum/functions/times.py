@@ -47,6 +47,14 @@ def timecode(text: Column) -> Column:
     return d(0) * 3600 + d(1) * 60 + d(2)
 
 
+def caption_seconds(text: Column) -> Column:
+    """[HH:]MM:SS with . or , before the fraction as DOUBLE seconds; NULL if unreadable."""
+    p = r"^\s*(?:(\d+):)?(\d{1,2}):(\d{1,2})(?:[.,](\d{1,3}))?\s*$"
+    part = lambda i: F.regexp_extract(text, p, i)
+    whole = (_n(part(1)) * 3600 + _n(part(2)) * 60).cast("double")
+    return F.when(text.rlike(p), whole + F.concat(part(3), F.lit("."), part(4), F.lit("0")).try_cast("double"))
+
+
 def iso_duration(text: Column) -> Column:
     """PT#H#M#S as seconds; NULL for other texts."""
     part = lambda u: F.coalesce(F.regexp_extract(text, rf"(\d+){u}", 1).try_cast("int"), F.lit(0))

@@ -477,6 +477,55 @@ def srt_parse(spark: SparkSession, sf: str) -> DataFrame:
     return captions.parse_srt(captions.write_srt(_segments(spark, sf), "file_id", ["id"], "a", "b", "text"), "file_id", "text").drop("pos")
 
 
+# All segments with their own times; the four queries above are held to their SQL, which
+# leaves out markup and edge spaces and numbers the starts.
+TIME = r"'^\s*(?:(\d+):)?(\d{1,2}):(\d{1,2})(?:[.,](\d{1,3}))?\s*$'"
+
+
+def _seconds_sql(c: str) -> str:
+    at = lambda i: f"regexp_extract({c}, {TIME}, {i})"
+    return f"CASE WHEN regexp_matches({c}, {TIME}) THEN CAST(coalesce(TRY_CAST({at(1)} AS BIGINT), 0) * 3600 + CAST({at(2)} AS BIGINT) * 60 AS DOUBLE) + CAST(concat({at(3)}, '.', {at(4)}, '0') AS DOUBLE) END"
+
+
+ALL_SQL = f"""WITH s AS (SELECT id, file_id, trim(text) AS text, trim(regexp_replace(text, '<[^>]*>', '', 'g')) AS plain, {_seconds_sql("time_start")} AS a, {_seconds_sql("time_end")} AS b
+  FROM (SELECT DISTINCT ON (id) * FROM video_transcript) WHERE trim(text) <> ''), c AS (SELECT * FROM s WHERE a IS NOT NULL AND b IS NOT NULL)"""
+
+
+def _all_segments(spark: SparkSession, sf: str) -> DataFrame:
+    s = table(spark, sf, "video_transcript").dropDuplicates(["id"]).where("trim(text) <> ''")
+    return s.select("id", "file_id", "text", times.caption_seconds(F.col("time_start")).alias("a"), times.caption_seconds(F.col("time_end")).alias("b"))
+
+
+def _cues(spark: SparkSession, sf: str) -> DataFrame:
+    return _all_segments(spark, sf).where("a IS NOT NULL AND b IS NOT NULL")
+
+
+@query(f"{ALL_SQL} SELECT file_id, string_agg(plain, ' ' ORDER BY a NULLS LAST, id) AS text FROM s WHERE plain <> '' GROUP BY file_id")
+def transcript_text_all(spark: SparkSession, sf: str) -> DataFrame:
+    s = _all_segments(spark, sf).withColumns({"text": captions.without_markup(F.col("text")), "untimed": F.col("a").isNull()})
+    return captions.plain_text(s, "file_id", ["untimed", "a", "id"], "text")
+
+
+@query(f"{ALL_SQL} SELECT file_id, concat('WEBVTT\n\n', string_agg(concat({VTT.format(x='a')}, ' --> ', {VTT.format(x='b')}, '\n', text), '\n\n' ORDER BY a, id), '\n') AS text FROM c GROUP BY file_id")
+def webvtt_write_all(spark: SparkSession, sf: str) -> DataFrame:
+    return captions.write_webvtt(_cues(spark, sf), "file_id", ["a", "id"], "a", "b", "text")
+
+
+# a written time has its milliseconds cut
+CUT = "(floor({x}) + trunc(({x} - floor({x})) * 1000) / 1000)"
+ALL_PARSED_SQL = f"{ALL_SQL} SELECT file_id, {CUT.format(x='a')} AS start_s, {CUT.format(x='b')} AS end_s, plain AS text FROM c WHERE plain <> ''"
+
+
+@query(ALL_PARSED_SQL)
+def webvtt_parse_all(spark: SparkSession, sf: str) -> DataFrame:
+    return captions.parse_webvtt(webvtt_write_all(spark, sf), "file_id", "text").drop("pos")
+
+
+@query(ALL_PARSED_SQL)
+def srt_parse_all(spark: SparkSession, sf: str) -> DataFrame:
+    return captions.parse_srt(captions.write_srt(_cues(spark, sf), "file_id", ["a", "id"], "a", "b", "text"), "file_id", "text").drop("pos")
+
+
 @query(f"WITH {FILES_SQL} SELECT CAST(CAST(date_trunc('week', date) AS DATE) AS VARCHAR) AS week_start, CAST(id AS BIGINT) AS id, title, committee_id FROM f WHERE date IS NOT NULL")
 def json_flatten(spark: SparkSession, sf: str) -> DataFrame:
     f = files(spark, sf).where("date IS NOT NULL")

@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 from rostrum.functions import times
 
 
+def without_markup(text: Column) -> Column:
+    return F.regexp_replace(text, r"<[^>]*>", "")
+
+
 def _segments(df: DataFrame, id_col: str, blocks: Column, comma: bool) -> DataFrame:
     stamp = r"(\d{1,2}:\d{2}:\d{2}[.,]\d{3})"
     rows = df.select(id_col, F.posexplode(blocks).alias("pos", "b"))
     at = lambda i: F.regexp_extract("b", rf"{stamp} --> {stamp}[^\n]*\n?", i)
     body = F.regexp_replace("b", rf"(?s)^.*?{stamp} --> {stamp}[^\n]*\n?", "")
-    text = F.trim(F.regexp_replace(F.regexp_replace(body, r"<[^>]*>", ""), r"\s*\n\s*", " "))
+    text = F.trim(F.regexp_replace(without_markup(body), r"\s*\n\s*", " "))
     got = rows.select(id_col, "pos", times.timecode(at(1)).alias("start_s"), times.timecode(at(2)).alias("end_s"), text.alias("text"))
     return got.where("start_s IS NOT NULL AND text <> ''")
 
@@ -44,12 +48,12 @@ def plain_text(df: DataFrame, id_col: str, order: list[str], text: str) -> DataF
 
 
 def write_webvtt(df: DataFrame, id_col: str, order: list[str], start: str, end: str, text: str) -> DataFrame:
-    cue = F.concat(times.vtt_clock(F.col(start)), F.lit(" --> "), times.vtt_clock(F.col(end)), F.lit("\n"), F.col(text))
+    cue = F.concat(times.vtt_clock(F.col(start)), F.lit(" --> "), times.vtt_clock(F.col(end)), F.lit("\n"), F.trim(F.col(text)))
     got = _joined(df, id_col, order, cue, "\n\n")
     return got.select(id_col, F.concat(F.lit("WEBVTT\n\n"), "text", F.lit("\n")).alias("text"))
 
 
 def write_srt(df: DataFrame, id_col: str, order: list[str], start: str, end: str, text: str) -> DataFrame:
     clock = lambda c: F.replace(times.vtt_clock(F.col(c)), F.lit("."), F.lit(","))
-    rows = df.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct(*order, F.concat(clock(start), F.lit(" --> "), clock(end), F.lit("\n"), F.col(text)).alias("_p")))).alias("_l"))
+    rows = df.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct(*order, F.concat(clock(start), F.lit(" --> "), clock(end), F.lit("\n"), F.trim(F.col(text))).alias("_p")))).alias("_l"))
     return rows.select(id_col, F.array_join(F.transform("_l", lambda x, i: F.concat((i + 1).cast("string"), F.lit("\n"), x["_p"])), "\n\n").alias("text"))

@@ -70,3 +70,15 @@ def test_pages(spark):
     df = spark.createDataFrame([(1, html), (2, None)], "id int, h string")
     assert [tuple(r) for r in pages.scan_table(df, "id", "h").collect()] == [(1, 0, ["A B", "1h"], "/c/7")]
     assert one(spark, pages.meta_content(F.lit("<meta property='og:title' content='T'>"), "og:title")) == "T"
+
+
+def test_segments_with_markup_keep_words_and_times(spark, tmp_path):
+    from rostrum.plans import catalog
+
+    rows = [(2, 1, "<i>second  ", "00:00:20,50", "00:00:21,25"), (1, 1, " third", "00:01:00.5", "00:01:02.00"), (3, 1, "first", "00:07.25", "00:08.50"), (4, 1, "<i></i>", "00:02:00.00", "00:02:01.00"), (5, 1, "untimed", None, None)]
+    spark.createDataFrame(rows, "id long, file_id int, text string, time_start string, time_end string").write.parquet(str(tmp_path / "video_transcript.parquet"))
+    q = {n: catalog.QUERIES[f"{n}_all"](spark, str(tmp_path)).collect() for n in ("transcript_text", "webvtt_write", "webvtt_parse", "srt_parse")}
+    assert [r.text for r in q["transcript_text"]] == ["first second third untimed"]
+    assert q["webvtt_write"][0].text.startswith("WEBVTT\n\n00:00:07.250 --> 00:00:08.500\nfirst\n\n00:00:20.500 --> 00:00:21.250\n<i>second\n\n00:01:00.500")
+    want = [(7.25, 8.5, "first"), (20.5, 21.25, "second"), (60.5, 62.0, "third")]
+    assert [[(r.start_s, r.end_s, r.text) for r in q[n]] for n in ("webvtt_parse", "srt_parse")] == [want, want]
