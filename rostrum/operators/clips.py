@@ -20,11 +20,12 @@ def reduce_to_clips(rows: DataFrame, keys: list[str], time: str, tie: str, gap:
 
     first is the tie-break column of the clip's first row. NULL times make no clip.
     """
-    flat = sequences.chunk(rows.where(F.col(time).isNotNull()).select(*keys, F.col(time).cast("long").alias("_t"), F.col(tie).alias("_i")), keys, ["_t", "_i"], "clips")
-    flat = sequences.previous(flat, keys, ["_t", "_i"], ["_t"])
-    new = F.when(F.col("_prev__t").isNull() | (F.col("_t") - F.col("_prev__t") > gap), 1).otherwise(0)
-    flat = sequences.running_sum(flat, keys, ["_t", "_i"], new, "_clip")
-    clips = flat.groupBy(*keys, "_clip").agg(F.min("_t").alias("a"), F.max("_t").alias("b"), F.count("*").alias("n"), F.min_by("_i", F.struct("_t", "_i")).alias("first"))
+    order = ["_t", "_i"]
+    flat = sequences.chunk(rows.where(F.col(time).isNotNull()).select(*keys, F.col(time).cast("long").alias("_t"), F.col(tie).alias("_i")), keys, order, "clips")
+    flat = sequences.previous(flat, keys, order, ["_t"])
+    new = F.col("_prev__t").isNull() | (F.col("_t") - F.col("_prev__t") > gap)
+    pieces = {"a": F.min("_t"), "b": F.max("_t"), "n": F.count("*")}
+    clips = sequences.islands(flat, keys, order, new, pieces, {"a": F.min("a"), "b": F.max("b"), "n": F.sum("n")}, "clip-pieces").withColumn("first", F.col("_at._i"))
     clips = clips.withColumn("a", F.greatest(F.lit(0), F.col("a") - pad)).withColumn("b", F.col("b") + pad)
     mid = (F.col("a") + F.col("b")) / 2
     tight = F.col("b") - F.col("a") <= short
@@ -44,9 +45,10 @@ def run_segments(rows: DataFrame, keys: list[str], time: str, tie: str, value: C
     flat = rows.select(*keys, F.col(time).cast("long").alias("_t"), F.col(tie).alias("_i"), value.alias("value")).where("value IS NOT NULL AND _t IS NOT NULL")
     flat = sequences.chunk(flat, keys, order, "segments")
     flat = sequences.previous(flat, keys, order, ["value"])
-    flat = sequences.running_sum(flat, keys, order, F.when(F.col("_prev_value") == F.col("value"), 0).otherwise(1), "_run")
-    runs = flat.groupBy(*keys, "_run").agg(F.first("value").alias("value"), F.min("_t").alias("start_s"), F.max("_t").alias("end_s"), F.count("*").alias("n_rows"))
-    return runs.where(F.col("end_s") - F.col("start_s") + 1 >= least).drop("_run")
+    pieces = {"value": F.min("value"), "start_s": F.min("_t"), "end_s": F.max("_t"), "n_rows": F.count("*")}
+    merge = {"value": F.min("value"), "start_s": F.min("start_s"), "end_s": F.max("end_s"), "n_rows": F.sum("n_rows")}
+    runs = sequences.islands(flat, keys, order, ~F.col("_prev_value").eqNullSafe(F.col("value")), pieces, merge, "segment-pieces")
+    return runs.where(F.col("end_s") - F.col("start_s") + 1 >= least).drop("_chunk", "_at")
 
 
 def nearest(probe: DataFrame, items: DataFrame, key: str, time: str, tie: str, item_tie: str) -> DataFrame:
@@ -58,10 +60,6 @@ def nearest(probe: DataFrame, items: DataFrame, key: str, time: str, tie: str, i
     q = items.groupBy(F.col(key).alias("k"), F.col(time).cast("long").alias("t")).agg(F.min(F.col(item_tie).cast("long")).alias("i")).select("k", "t", F.lit(0).alias("side"), "i")
     both = sequences.chunk(p.unionByName(q).where("t IS NOT NULL"), ["k"], ["t", "side", "i"], "nearest")
     mark = F.when(F.col("side") == 0, F.struct("t", "i"))
-    ahead = sequences.fill_forward(both.withColumn("before", mark), ["k"], ["t", "side", "i"], ["before"])
-    back = both.withColumns({"nt": -F.col("t"), "ns": F.col("side"), "after": mark})
-    back = sequences.chunk(back.drop("_chunk"), ["k"], ["nt", "ns", "i"], "nearest-back")
-    back = sequences.fill_forward(back, ["k"], ["nt", "ns", "i"], ["after"]).where("side = 1").select("k", F.col("i").alias("i2"), "after")
-    got = ahead.where("side = 1").join(back.withColumnRenamed("k", "k2"), (F.col("k") == F.col("k2")) & (F.col("i") == F.col("i2")), "left")
+    got = sequences.forward(both, ["k"], ["t", "side", "i"], upto={"before": mark}, after={"after": mark}).where("side = 1")
     pick = F.when(F.col("after").isNull() | (F.col("t") - F.col("before.t") <= F.col("after.t") - F.col("t")), F.col("before.i")).otherwise(F.col("after.i"))
     return got.select(F.col("k").alias(key), F.col("i").alias(tie), F.when(F.col("before").isNull(), F.col("after.i")).otherwise(pick).alias("item"))

@@ -36,6 +36,22 @@ def test_chunked_windows_equal_plain_ones(spark):
             before = i
 
 
+def test_islands_over_chunks_equal_plain_ones(spark):
+    rng = random.Random(6)
+    rows = [("hot" if rng.random() < 0.7 else rng.choice("ab"), t, t, rng.random() < 0.03) for t in range(600)]
+    df = sequences.chunk(spark.createDataFrame(rows, "k string, t int, id int, cut boolean"), ["k"], ["t", "id"], parts=9)
+    df = sequences.forward(df, ["k"], ["t", "id"], before={"any": F.lit(True)}, after={"next_cut": F.when(F.col("cut"), F.col("t"))})
+    got = sequences.islands(df, ["k"], ["t", "id"], F.col("any").isNull() | F.col("cut"), {"a": F.min("t"), "n": F.count("*")}, {"a": F.min("a"), "n": F.sum("n")})
+    want, seen = {}, {}
+    for k, t, _, cut in sorted(rows):
+        if cut or k not in seen:
+            seen[k] = t
+        want[k, seen[k]] = want.get((k, seen[k]), 0) + 1
+    assert {(r.k, r.a): r.n for r in got.collect()} == want and {r._at.t for r in got.collect()} == {t for _, t in want}
+    for r in df.collect():
+        assert r.next_cut == min((t for k, t, _, c in rows if c and k == r.k and t >= r.t), default=None)
+
+
 def _brute(rows, day):
     known = [r for r in rows if r[2] <= day and r[0] <= day]
     if not known:
