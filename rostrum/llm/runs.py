@@ -1,14 +1,16 @@
 """Runs of identical or near-identical consecutive events in sequences.
 
 Captions of a file and type are ordered by second and id. Each caption is compared
-with the one before; a chain of misreadings of one caption is canonicalised to the
-chain's first reading. On the canonicalised events a run is a constant difference of
-two row numbers, the one within the entity and the one within entity and value, and
-runs are aggregated to their count and duration.
+with the one before; a chain of misreadings is canonicalised to the text of its first
+reading. That value says nothing of the place: a caption shown again later has it again.
+On the canonicalised events a run is a constant difference of two row numbers, the one
+within the entity and the one within entity and value, which parts the stretches of one
+value; runs are aggregated to their count and duration.
 
-A file of any size is split over chunks (rostrum.operators.sequences).
+A file of any size is split over chunks (rostrum.operators.sequences): rows are numbered
+within a chunk, and the runs at a chunk's edges, three a chunk at most, are put together.
 
-Defined results: rows of ignored 'y' are left out; rows repeated under one id count
+Defined results: rows of ignored 'y' are left out; exact copies under one id count
 once; a time that is no HH:MM:SS is replaced by screenshot - 1, and by 0 if that is
 no number either; NULL and blank texts read the same among themselves.
 """
@@ -21,9 +23,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from rostrum.llm.bodies import distance, fold
 from rostrum.operators import sequences
+from rostrum.session import materialize
 
 # Letters that are misread for digits, and digits for letters.
 TO_DIGIT = str.maketrans("OoQDIl|iZzASsGTBg", "00001111224556789")
@@ -111,11 +115,11 @@ def caption_runs(video_index: DataFrame, least: int = 1) -> DataFrame:
     rows = (
         video_index.where("coalesce(ignored, 'n') <> 'y' AND id IS NOT NULL")
         .select("id", "file_id", "type", "raw_text", second(F.col("time"), F.col("screenshot")).alias("second"))
-        .dropDuplicates(["id"])
         .withColumns({"file_id": F.coalesce("file_id", F.lit(0)), "type": F.coalesce("type", F.lit(""))})
     )
     rows = sequences.chunk(rows, keys, order, "captions")
     rows = sequences.previous(rows, keys, order, ["id", "raw_text"])
+    copy = F.col("_prev_id").eqNullSafe(F.col("id"))  # delivered twice: same order, so next to each other
     # only pairs that plain expressions can't decide go to Python: equal but for marks and
     # case is the same, too many edits are another caption
     bare = lambda c: F.lower(F.regexp_replace(c, "[^A-Za-z0-9]", ""))
@@ -133,23 +137,40 @@ def caption_runs(video_index: DataFrame, least: int = 1) -> DataFrame:
         # the same number of words within the edits forgiven; swapped letters cost two here and are left
         .when((F.col("type") == "legislator") & (bare(a) != "") & (bare(b) != "") & (count(a) == count(b)) & ~a.rlike(lost) & ~b.rlike(lost) & (lev <= most), False)
     )
-    differs = rows.withColumn("_new", quick)
+    differs = rows.withColumn("_new", F.when(copy, False).otherwise(quick))
     checked = differs.withColumn("_a", F.when(F.col("_new").isNull(), a)).withColumn("_b", F.when(F.col("_new").isNull(), b))
     checked = checked.withColumn("_new", F.coalesce("_new", ~_same(F.col("_a"), F.col("_b"), F.col("type"))))
-    # canonical value: the first reading of the chain, told apart by its place
-    named = checked.withColumn("_canon", F.when(F.col("_new"), F.struct(F.col("raw_text").alias("caption"), "id")))
-    named = sequences.fill_forward(named.drop("_a", "_b", "_prev_id", "_prev_raw_text"), keys, order, ["_canon"])
-    within = sequences.running_sum(named, keys, order, F.lit(1), "_rn")
-    value = [*keys, "_canon"]
-    ranked = sequences.running_sum(within, value, order, F.lit(1), "_rv")
-    runs = ranked.groupBy(*value, (F.col("_rn") - F.col("_rv")).alias("_run")).agg(
-        F.min_by("id", F.struct(*order)).alias("first_id"),
-        F.max_by("id", F.struct(*order)).alias("last_id"),
-        F.count("*").alias("n"),
-        F.min("second").alias("start_second"),
-        (F.max("second") - F.min("second")).alias("duration_s"),
+    return _runs(checked.withColumn("_copy", copy), keys, order).where(F.col("n") >= least).select(*keys, F.col("_canon.caption").alias("caption"), "first_id", "last_id", "n", "start_second", (F.col("end_second") - F.col("start_second")).alias("duration_s"))
+
+
+def _runs(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The runs of rows with _new (another caption than before) and _copy, by the
+    difference of row numbers."""
+    w = W.partitionBy("_chunk", *keys).orderBy(*order)
+    # a chain that goes on from the chunk before has no first reading here: NULL
+    named = rows.withColumn("_canon", F.last(F.when(F.col("_new"), F.struct(F.col("raw_text").alias("caption"))), ignorenulls=True).over(w)).withColumns({"_rn": F.row_number().over(w), "_chain": F.sum(F.col("_new").cast("int")).over(w)})
+    ranked = named.withColumn("_rv", F.row_number().over(W.partitionBy("_chunk", *keys, "_canon").orderBy(*order)))
+    runs = ranked.groupBy("_chunk", *keys, "_canon", (F.col("_rn") - F.col("_rv")).alias("_run")).agg(
+        F.min(F.struct(*order)).alias("_at"),
+        F.max(F.struct(*order)).alias("_to"),
+        F.count_if(~F.col("_copy")).alias("n"),
+        F.min("_chain").alias("_chain"),
+    )
+    runs = materialize(runs.drop("_run"), "runs")
+    k = F.struct(*keys)
+    ends = runs.groupBy("_chunk").agg(F.min(k).alias("_first"), F.max(F.struct(k.alias("k"), F.col("_at").alias("at"))).alias("_last")).withColumnRenamed("_chunk", "_ec")
+    tied = runs.join(F.broadcast(ends), F.col("_chunk") == F.col("_ec"))  # a row a chunk
+    leads = k.eqNullSafe(F.col("_first")) & (F.col("_chain") <= 1)
+    edge = leads | F.struct(k, F.col("_at")).eqNullSafe(F.col("_last"))
+    columns = [*keys, "_canon", "_at", "_to", "n"]
+    e = W.partitionBy(*keys).orderBy("_chunk", "_at")  # three rows a chunk at most
+    at_edge = tied.where(edge).withColumn("_canon", F.last("_canon", ignorenulls=True).over(e.rowsBetween(W.unboundedPreceding, 0)))
+    goes_on = leads & F.col("_canon").eqNullSafe(F.lag("_canon").over(e))
+    at_edge = at_edge.withColumn("_isl", F.when(goes_on, 0).otherwise(1)).withColumn("_isl", F.sum("_isl").over(e))
+    joined = at_edge.groupBy(*keys, "_isl").agg(F.min_by("_canon", "_at").alias("_canon"), F.min("_at").alias("_at"), F.max("_to").alias("_to"), F.sum("n").alias("n"))
+    return tied.where(~edge).select(columns).unionByName(joined.select(columns)).select(
+        *keys, "_canon", F.col("_at.id").alias("first_id"), F.col("_to.id").alias("last_id"), "n", F.col("_at.second").alias("start_second"), F.col("_to.second").alias("end_second")
     )
-    return runs.where(F.col("n") >= least).select(*keys, F.col("_canon.caption").alias("caption"), "first_id", "last_id", "n", "start_second", "duration_s")
 
 
 def found(video_index: DataFrame) -> DataFrame:
