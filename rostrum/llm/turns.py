@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window as W
 
 from rostrum.llm.bodies import fold
 from rostrum.llm.persons import index_of, profile_rows, resolve_people
 from rostrum.operators import sequences
+from rostrum.session import materialize
 
 # Sound annotations, and fillers that are no words of a turn.
 SOUNDS = r"laughter|laughs?|applause|music(?:\s+playing)?|gavel|bell(?:\s+rings)?|no\s+audio|inaudible|indiscernible|pause|cough(?:ing|s)?|crosstalk|silence|cheering|blank_audio|noise|recess"
@@ -34,6 +34,8 @@ FILLERS = r"you know|i mean|sort of|okay so|um+|uh+|er+|hm+|like"
 _TITLE = r"(?:(?i:delegate|senator|del|sen|chairman|chairwoman|chair|rep|ms|mrs|mr|dr|mayor)\.?)"
 _WORD = r"(?:" + _TITLE + r"|\p{Lu}\.|A(?=\s)|\p{Lu}[\p{L}\d.,'`’-]*[\p{L}\d])"
 _LABEL = rf"{_WORD}(?:\s+(?:{_WORD}|of|the)){{0,5}}(?:\s+(?:Jr|Sr|JR|SR|II|III)\.?)?(?:\s+\d)?"
+LAST = 1 << 40  # the start of segments whose own is unreadable
+ORDER = ["start", "id", "piece"]
 _CUT = "\x01"  # before a piece
 _NAME = "\x02"  # around a label
 
@@ -118,65 +120,80 @@ def _speaker(label: Column, rows: tuple) -> Column:
     return read(label)
 
 
-def speaker_turns(transcript: DataFrame, people: DataFrame) -> DataFrame:
-    """(file_id, turn, first_id, legislator_id, speaker, text) in order of turn."""
+def _joined(text: str, at) -> Column:
+    return F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(F.when(F.col(text).isNotNull(), F.struct(F.col(at).alias("at"), F.col(text).alias("t"))))), lambda x: x["t"]))
+
+
+def _pieces(transcript: DataFrame, people: DataFrame) -> DataFrame:
+    """(file_id, start, id, piece, words, text, sign, key, pid): what is spoken between
+    two signs of a change."""
     rows = profile_rows(resolve_people(people))
     seg = transcript.where("id IS NOT NULL AND file_id IS NOT NULL").select(
-        "file_id", "id", F.coalesce(milliseconds(F.col("time_start")), F.lit(1 << 40)).alias("start"), marked(F.col("text")).alias("m"), F.lower(F.trim("new_speaker")).alias("flag"), F.col("legislator_id").cast("long").alias("leg")
+        "file_id", "id", milliseconds(F.col("time_start")).alias("start"), marked(F.col("text")).alias("m"), F.lower(F.trim("new_speaker")).alias("flag"), F.col("legislator_id").cast("long").alias("leg")
     )
     said = F.lower(F.regexp_replace("m", r"[^\p{L}\d]", ""))
-    seg = seg.withColumn("_said", said).groupBy("file_id", "start", F.when(said == "", F.col("id").cast("string")).otherwise(said).alias("_k"))
+    alone = (F.col("_said") == "") | F.col("start").isNull()  # repeats nothing
+    seg = seg.withColumn("_said", said).groupBy("file_id", F.coalesce("start", F.lit(LAST)).alias("start"), F.when(alone, F.concat(F.lit("\x01"), F.col("id").cast("string"))).otherwise(F.col("_said")).alias("_k"))
     seg = seg.agg(F.min_by(F.struct("id", "m", "flag", "leg"), "id").alias("s"))
-    piece = seg.select("file_id", "start", "s.*").select("file_id", "start", "id", "flag", "leg", F.posexplode(F.split("m", _CUT)).alias("piece", "t"))
+    cuts = F.transform(F.split("s.m", _CUT), lambda t: F.struct(t.alias("t"), spoken(t).alias("text")))
+    has = lambda x: x["text"].rlike(r"[\p{L}\d]")
+    seg = seg.select("file_id", "start", "s.id", "s.flag", "s.leg", cuts.alias("cuts"))
+    seg = seg.withColumn("said", F.transform("cuts", has))
+    seg = seg.withColumns({"lead": F.array_position("said", F.lit(True)) - 1, "single": F.size(F.filter("said", lambda x: x)) == 1})
+    piece = seg.select("*", F.posexplode("cuts").alias("piece", "c"))
+    # the id tells who speaks at the segment's start, that is its first words
+    leads = F.col("piece") == F.col("lead")
     piece = piece.select(
-        "file_id", "start", "id", "piece", "flag",
-        F.trim("t").startswith(">>").alias("mark"),
-        F.nullif(F.trim(F.regexp_extract("t", f"{_NAME}([^{_NAME}]*){_NAME}", 1)), F.lit("")).alias("label"),
-        spoken(F.col("t")).alias("text"), "leg",
-    ).withColumn("words", F.col("text").rlike(r"[\p{L}\d]"))
+        "file_id", "start", "id", "piece",
+        F.element_at("said", F.col("piece") + 1).alias("words"),
+        F.col("c.text").alias("text"),
+        F.trim("c.t").startswith(">>").alias("mark"),
+        F.nullif(F.trim(F.regexp_extract("c.t", f"{_NAME}([^{_NAME}]*){_NAME}", 1)), F.lit("")).alias("label"),
+        F.when(leads, F.col("leg")).alias("leg"),
+        F.coalesce(leads & F.col("single") & (F.col("flag") == "y"), F.lit(False)).alias("flagged"),
+    )
     piece = piece.where("words OR mark OR label IS NOT NULL").withColumn("who", _speaker(F.col("label"), rows))
-    order = ["start", "id", "piece"]
-    # the id tells who speaks at the segment's start, that is its first words
-    first = F.min(F.when(F.col("words"), F.col("piece"))).over(W.partitionBy("file_id", "start", "id"))
-    last = F.max(F.when(F.col("words"), F.col("piece"))).over(W.partitionBy("file_id", "start", "id"))
-    piece = piece.withColumn("_lead", F.col("piece") == first).withColumn("_single", first == last)
-    piece = piece.withColumns({
-        "leg": F.when(F.col("_lead"), F.col("leg")),
-        "sign": F.col("mark") | F.col("label").isNotNull() | (F.col("_lead") & F.col("_single") & (F.col("flag") == "y")),
-    }).withColumn("sign", F.coalesce("sign", F.lit(False)))
-    piece = piece.select("file_id", *order, "words", "text", "sign", F.col("who.key").alias("key"), F.coalesce("who.pid", "leg").alias("pid"))
-    piece = sequences.chunk(piece, ["file_id"], order, "pieces")
-    piece = sequences.running_sum(piece, ["file_id"], order, F.col("sign").cast("int"), "t1")
-    # another known person inside a tentative turn opens one too
-    known = sequences.fill_forward(piece.withColumn("_known", F.col("pid")), ["file_id", "t1"], order, ["_known"])
-    known = sequences.previous(known, ["file_id", "t1"], order, ["_known"], "_p")
-    known = known.withColumn("sign", F.col("sign") | F.coalesce(F.col("pid") != F.col("_p_known"), F.lit(False)))
-    piece = sequences.running_sum(known.drop("t1", "_known", "_p_known"), ["file_id"], order, F.col("sign").cast("int"), "t1")
-    at = F.struct(*order)
-    tentative = piece.groupBy("file_id", "t1").agg(
-        F.min_by("pid", F.when(F.col("pid").isNotNull(), at)).alias("pid"),
-        F.min_by("key", F.when(F.col("key").isNotNull(), at)).alias("key"),
-        F.max("words").alias("words"),
-        F.min(F.when(F.col("words"), at)).alias("at"),
-        F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(F.when(F.col("words"), F.struct(*order, "text")))), lambda x: x["text"])).alias("text"),
-    )
+    sign = F.col("mark") | F.col("label").isNotNull() | F.col("flagged")
+    return piece.select("file_id", *ORDER, "words", "text", sign.alias("sign"), F.col("who.key").alias("key"), F.coalesce("who.pid", "leg").alias("pid"))
+
+
+def _turns(transcript: DataFrame, people: DataFrame, texts: bool) -> DataFrame:
+    """(file_id, _chunk, _at, at, pid, who, text) of every turn; text is NULL unless wanted."""
+    key = ["file_id"]
+    piece = _pieces(transcript, people)
+    if not texts:
+        piece = piece.withColumn("text", F.lit(None).cast("string"))
+    piece = sequences.chunk(piece, key, ORDER, "pieces")
+    # a sign opens a tentative turn, and so does another known person than the last since the last sign
+    event = F.when(F.col("sign") | F.col("pid").isNotNull(), F.struct("pid"))
+    piece = sequences.forward(piece, key, ORDER, before={"_any": F.lit(True), "_l": event})
+    new = F.col("_any").isNull() | F.col("sign") | F.coalesce(F.col("pid") != F.col("_l.pid"), F.lit(False))
+    at = F.struct(*ORDER)
+    told = lambda c, pos: F.min_by(c, F.when(F.col(c).isNotNull(), pos))
+    text = _joined("text", "_pos") if texts else F.first("text")
+    own = {"pid": told("pid", at), "key": told("key", at), "words": F.max("words"), "at": F.min(F.when(F.col("words"), at)), "text": text}
+    piece = piece.withColumn("_pos", at).withColumn("text", F.when(F.col("words"), F.col("text")))
+    merge = {"pid": told("pid", F.col("_at")), "key": told("key", F.col("_at")), "words": F.max("words"), "at": F.min("at"), "text": _joined("text", "_at") if texts else F.first("text")}
+    tentative = sequences.islands(piece, key, ORDER, new, own, merge, "tentative")
+    tentative = tentative.select("file_id", "_chunk", F.col("_at").alias("pos"), "words", "at", "text", "pid", F.coalesce(F.concat(F.lit("p"), F.col("pid").cast("string")), F.col("key")).alias("who"))
     # a label or mark without words names the turn that follows it
-    tentative = tentative.withColumn("who", F.coalesce(F.concat(F.lit("p"), F.col("pid").cast("string")), F.col("key")))
-    tentative = sequences.chunk(tentative, ["file_id"], ["t1"], "tentative")
-    tentative = sequences.previous(tentative, ["file_id"], ["t1"], ["words", "who", "pid"], "_p_")
-    alone = ~F.col("_p_words") & F.col("who").isNull()
-    turn = tentative.withColumns({"pid": F.when(alone, F.col("_p_pid")).otherwise(F.col("pid")), "who": F.when(alone, F.col("_p_who")).otherwise(F.col("who"))}).where("words").select("file_id", "t1", "pid", "who", "at", "text")
-    turn = sequences.chunk(turn, ["file_id"], ["t1"], "turns")
-    turn = sequences.previous(turn, ["file_id"], ["t1"], ["t1", "who"], "_p_")
-    turn = sequences.running_sum(turn, ["file_id"], ["t1"], F.when(F.col("_p_who") == F.col("who"), 0).otherwise(1), "turn")
-    return turn.groupBy("file_id", "turn").agg(
-        F.min_by("at", "t1")["id"].alias("first_id"),
-        F.coalesce(F.max("pid"), F.lit(0)).cast("int").alias("legislator_id"),
-        F.max("who").alias("speaker"),
-        F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(F.struct("t1", "text"))), lambda x: x["text"])).alias("text"),
-    )
+    tentative = sequences.forward(tentative, key, ["pos"], before={"_p": F.struct("words", "who", "pid")})
+    alone = ~F.col("_p.words") & F.col("who").isNull()
+    named = {c: F.when(alone, F.col("_p")[c]).otherwise(F.col(c)) for c in ("pid", "who")}
+    turn = materialize(tentative.withColumns(named).where("words").select("file_id", "_chunk", "pos", "pid", "who", "at", "text"), "turns")
+    turn = sequences.forward(turn, key, ["pos"], before={"_w": F.struct("who")})
+    first = lambda pos: {"at": F.min_by("at", pos), "pid": F.max("pid"), "who": F.max("who"), "text": _joined("text", pos) if texts else F.first("text")}
+    return sequences.islands(turn, key, ["pos"], ~F.coalesce(F.col("_w.who") == F.col("who"), F.lit(False)), first("pos"), first("_at"), "turn-pieces")
+
+
+def speaker_turns(transcript: DataFrame, people: DataFrame) -> DataFrame:
+    """(file_id, turn, first_id, legislator_id, speaker, text) in order of turn. The text
+    of a turn is one value, whatever its length."""
+    turn = materialize(_turns(transcript, people, True), "turn-texts")
+    turn = sequences.running_sum(turn, ["file_id"], ["_at"], F.lit(1), "turn")
+    return turn.select("file_id", "turn", F.col("at.id").alias("first_id"), F.coalesce("pid", F.lit(0)).cast("int").alias("legislator_id"), F.col("who").alias("speaker"), "text")
 
 
 def found(transcript: DataFrame, people: DataFrame) -> DataFrame:
     """(file_id, first_id, legislator_id) of every turn."""
-    return speaker_turns(transcript, people).select("file_id", "first_id", "legislator_id")
+    return _turns(transcript, people, False).select("file_id", F.col("at.id").alias("first_id"), F.coalesce("pid", F.lit(0)).cast("int").alias("legislator_id"))
