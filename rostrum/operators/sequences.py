@@ -20,13 +20,15 @@ from rostrum.session import input_bytes, materialize
 CHUNK_BYTES = 32 << 20
 
 
-def chunk(df: DataFrame, keys: list[str], order: list[str], label: str = "chunks", parts: int | None = None) -> DataFrame:
+def chunk(df: DataFrame, keys: list[str], order: list[str], label: str = "chunks", parts: int | None = None, heavy: bool = False) -> DataFrame:
     """df with ``_chunk``: chunks are consecutive in (keys, order), about CHUNK_BYTES of
     input each, but one a core at least; spark.sql.shuffle.partitions of them where the
-    optimizer knows no size."""
+    optimizer knows no size. A heavy df is written first, as range partitioning reads it
+    twice, once for the ranges."""
     size = input_bytes(df)
     by_size = -(-size // CHUNK_BYTES) if size < 1 << 60 else int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = parts or max(df.sparkSession.sparkContext.defaultParallelism, by_size)
+    df = materialize(df, label + "-rows") if heavy else df
     return materialize(df.repartitionByRange(parts, *keys, *order).withColumn("_chunk", F.spark_partition_id()), label)
 
 
