@@ -5,13 +5,13 @@ its topic in that context; its character grams are winnowed to fingerprints. A b
 is admitted in these steps:
 
 1. exact copies collapse to one record (pre-aggregation before any join);
-2. the batch's distinct fingerprints are screened by the store's Bloom filters, which
-   are partitioned by fingerprint, one small filter per partition and admitted batch;
-3. positives alone look up the persistent fingerprint store and the batch itself;
+2. the batch's distinct fingerprints are screened by the store's Bloom filters, one for
+   each part of each run of the store;
+3. positives alone look up the persistent fingerprint store, of which only the parts
+   with positives are opened, and the batch itself;
 4. candidates are verified: shared coverage of the fingerprints, then the topic text;
-5. records take the lowest recording they link to; store and filters are appended to.
-
-History is never read again but for the looked-up fingerprints.
+5. linked records and accepted recordings are put together (a record may join several,
+   which the store then remembers as merged); store and filters are appended to.
 
 Defined results: rows of NULL or blank title are no records; rows repeated under one
 id count once; a NULL chamber is taken from the title, a day in the title outweighs
@@ -26,15 +26,15 @@ import re
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rostrum.llm.bodies import CONNECTIVES, DATE, MONTHS, _CLOCK, _ROOM, _TAG, clean_tokens, committee_rows, distance, fold, resolver
-from rostrum.session import cut, fresh_path, shared_dir, spread
+from rostrum.session import cut, file_system, fresh_path, shared_dir, spread
 
 GRAM, WINDOW = 3, 2
-PARTITIONS = 32
+PART_ROWS, FAN = 1_000_000, 8
 BITS_PER_ITEM, PROBES = 12, 6
 
 # The occasions that stand before or after a topic.
@@ -147,20 +147,13 @@ def same_topic(a: str, b: str) -> bool:
     return distance(x, y, most) <= most
 
 
-def _hash(s: str) -> int:
-    h = 14695981039346656037
-    for b in s.encode():
-        h = (h ^ b) * 1099511628211 & 0xFFFFFFFFFFFFFFFF
-    h ^= h >> 29
-    h = h * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF
-    return (h ^ h >> 32) - (1 << 63)
-
-
-def winnow(context: str, content: str, gram: int = GRAM, window: int = WINDOW) -> list[int]:
-    """Fingerprints of content within its context: the least gram hash of each window."""
-    s = content.replace(" ", "")
-    hashes = [_hash(context + "\x1f" + s[i : i + gram]) for i in range(max(1, len(s) - gram + 1))]
-    return sorted({min(hashes[i : i + window]) for i in range(max(1, len(hashes) - window + 1))})
+def winnow(context: Column, content: Column) -> Column:
+    """Fingerprints of content within its context: the least gram hash of each window.
+    A content shorter than a gram is one gram."""
+    s = F.replace(content, F.lit(" "), F.lit(""))
+    grams = F.sequence(F.lit(1), F.greatest(F.length(s) - (GRAM - 1), F.lit(1)))
+    hashes = F.transform(grams, lambda i: F.xxhash64(context, F.substr(s, i, F.lit(GRAM))))
+    return F.array_distinct(F.transform(hashes, lambda h, i: F.array_min(F.slice(hashes, F.least(i + 1, F.greatest(F.size(hashes) - (WINDOW - 1), F.lit(1))), WINDOW))))
 
 
 _RECORD = T.StructType(
@@ -199,101 +192,189 @@ def _probes(fps: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _filter(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One Bloom filter over the fingerprints of a partition (built from partial counts)."""
+    """One Bloom filter over the fingerprints of a part, about PART_ROWS of them."""
     fps = pdf["fp"].to_numpy()
     bits = max(1024, 1 << int(len(fps) * BITS_PER_ITEM - 1).bit_length())
     flags = np.zeros(bits, dtype=bool)
     flags[_probes(fps, bits).ravel()] = True
-    return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "bits": [bits], "filter": [np.packbits(flags).tobytes()]})
+    return pd.DataFrame({"run": [pdf["run"].iloc[0]], "part": [int(pdf["part"].iloc[0])], "bits": [bits], "filter": [np.packbits(flags).tobytes()]})
 
 
 def _screen(pdf: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
-    """The fingerprints that some filter of their partition may hold."""
+    """The fingerprints that the filter of their run and part may hold."""
     fps = pdf["fp"].to_numpy()
     hit = np.zeros(len(fps), dtype=bool)
     for bits, raw in zip(filters["bits"], filters["filter"]):
         flags = np.unpackbits(np.frombuffer(raw, dtype=np.uint8))
         hit |= flags[_probes(fps, int(bits))].all(axis=0)
-    return pdf.loc[hit, ["fp"]]
+    return pdf.loc[hit, ["run", "part", "fp"]]
+
 
+def components(edges: DataFrame) -> DataFrame:
+    """(node, label): the least node connected to each node of edges (a, b). Labels move
+    to neighbours and then on to the label's own label, so chains take few rounds."""
+    both = cut(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")).select("node", F.least("node", "near").alias("label")))
+    while True:
+        of = labels.select(F.col("node").alias("b"), F.col("label").alias("via"))
+        near = both.join(of, "b").groupBy(F.col("a").alias("node")).agg(F.min("via").alias("via"))
+        step = labels.join(near, "node").select("node", "label", F.least("label", "via").alias("next"))
+        jump = step.select(F.col("node").alias("next"), F.col("next").alias("far"))
+        moved = cut(step.join(jump, "next", "left").select("node", "label", F.least("next", F.coalesce("far", "next")).alias("next")))
+        labels = moved.select("node", F.col("next").alias("label"))
+        if moved.where("next <> label").isEmpty():
+            return labels
 
-_STORED = {"fingerprints": "fp long, id int, topic string, n int, recording_id int", "filters": "part int, bits long, filter binary"}
+
+# -- store -------------------------------------------------------------------------------
+
+_STORED = {
+    "fingerprints": "fp long, id long, context string, topic string, n int, recording_id long, run string, part int",
+    "filters": "run string, part int, bits long, filter binary",
+    "members": "id long, recording_id long",
+    "merges": "version long, old long, new long",
+    "manifest": "version long, run string, tier int, parts int, rows long",
+}
 
 
 class RecordingStore:
-    """The accepted records: a fingerprint table and its Bloom filters under path."""
+    """The accepted records under a path, which any later process may open.
+
+    Every admitted batch adds a run: its fingerprints, partitioned by fingerprint and
+    sorted, and one Bloom filter a part. FAN runs of a size are compacted into one, so
+    a batch meets a logarithmic number of filters, and reads only the parts whose
+    filter it hits. Recordings that a later record turns out to join are listed in
+    merges. The manifest names the live runs and is written last: what a lost driver left
+    behind is in no manifest and never read.
+    """
 
-    def __init__(self, spark: SparkSession, path: str | None = None, partitions: int = PARTITIONS):
-        self.spark, self.path, self.partitions = spark, path or fresh_path(spark, "recordings"), partitions
-        self.batches = 0
+    def __init__(self, spark: SparkSession, path: str | None = None, part_rows: int = PART_ROWS, fan: int = FAN):
+        self.spark, self.path, self.part_rows, self.fan = spark, path or fresh_path(spark, "recordings"), part_rows, fan
         shared_dir(spark)
 
-    def _table(self, name: str) -> DataFrame:
-        return self.spark.read.schema(_STORED[name]).parquet(f"{self.path}/{name}")
+    def _there(self, name: str) -> bool:
+        fs, at = file_system(self.spark, f"{self.path}/{name}")
+        return fs.exists(at)
+
+    def _read(self, name: str, paths: list[str] | None = None) -> DataFrame:
+        """A table of the store; without paths or files it is empty."""
+        kind = name.split("/")[-1]
+        if paths is None:
+            paths = [f"{self.path}/{name}"] if self._there(name) else []
+        if not paths:
+            return self.spark.createDataFrame([], _STORED[kind])
+        return self.spark.read.schema(_STORED[kind]).option("basePath", f"{self.path}/{name}").parquet(*paths)
+
+    def runs(self) -> tuple[int, list]:
+        """The last version and its live runs: a logarithmic number of rows."""
+        rows = self._read("manifest").collect() if self._there("manifest") else []
+        version = max((r["version"] for r in rows), default=0)
+        return version, [r for r in rows if r["version"] == version and r["run"]]
+
+    def _merges(self, version: int) -> DataFrame:
+        seen = self._read("merges").where(F.col("version") <= version)
+        return seen.groupBy("old").agg(F.max_by("new", "version").alias("new"))
+
+    def members(self) -> DataFrame:
+        """(id, recording_id) of all accepted records as known now."""
+        version, _ = self.runs()
+        names = [f"{self.path}/members/{v}" for v in range(1, version + 1)]
+        return self._now(self.spark.read.schema(_STORED["members"]).parquet(*names) if names else self._read("members", []), version)
+
+    def _now(self, rows: DataFrame, version: int) -> DataFrame:
+        """rows with the recording_id that merges have put in place of theirs."""
+        if not self._there("merges"):
+            return rows
+        moved = rows.join(self._merges(version).withColumnRenamed("old", "recording_id"), "recording_id", "left")
+        return moved.withColumn("recording_id", F.coalesce("new", "recording_id")).select(*rows.columns)
+
+    def _stored(self, flat: DataFrame, rows: int, version: int, runs: list) -> DataFrame:
+        """The stored fingerprints that the filters let through and that are there."""
+        live = F.array(*(F.struct(F.lit(r["run"]).alias("run"), F.lit(r["parts"]).alias("parts")) for r in runs))
+        probe = flat.select("fp").distinct().select("fp", F.explode(live).alias("r")).select("r.run", F.pmod("fp", "r.parts").cast("int").alias("part"), "fp")
+        # a large batch over few parts is cut into groups of about part_rows
+        salts = max(1, -(-rows // (self.part_rows * min(r["parts"] for r in runs))))
+        probe = probe.withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(salts)))
+        filters = self._read("filters", [f"{self.path}/filters/{r['run']}" for r in runs]).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+        keys = ["run", "part", "salt"]
+        positive = cut(probe.groupBy(*keys).cogroup(filters.groupBy(*keys)).applyInPandas(_screen, "run string, part int, fp long"))
+        hit = positive.select("run", "part").distinct().collect()  # parts to open: names, not rows
+        stored = self._read("fingerprints", [f"{self.path}/fingerprints/run={h['run']}/part={h['part']}" for h in hit])
+        return self._now(stored.join(positive, ["run", "part", "fp"], "left_semi"), version)
 
     def admit(self, batch: DataFrame, least_coverage: float = 0.2) -> DataFrame:
         """(id, recording_id) of every record of the batch; recording_id is the lowest
         id with that recording in history and batch. Updates store and filters."""
+        version, runs = self.runs()
         context = F.concat_ws("\x1f", "chamber", F.col("day").cast("string"), "body", "portion")
-        keyed = batch.where("day IS NOT NULL").withColumn("context", context)
-        keyed = cut(keyed.select("id", "context", "topic"))
+        keyed = cut(batch.where("day IS NOT NULL").select(F.col("id").cast("long").alias("id"), context.alias("context"), "topic"))
         records = keyed.groupBy("context", "topic").agg(F.min("id").alias("id"))  # exact copies are one record
-
-        @F.arrow_udf(T.ArrayType(T.LongType()))
-        def fingerprints(contexts: pa.Array, topics: pa.Array) -> pa.Array:
-            return pa.array([winnow(c, t) for c, t in zip(contexts.to_pylist(), topics.to_pylist())], pa.list_(pa.int64()))
-
-        records = cut(records.withColumn("fps", fingerprints("context", "topic")))
-        flat = records.select("id", "context", "topic", F.size("fps").alias("n"), F.explode("fps").alias("fp")).withColumn("part", F.pmod("fp", F.lit(self.partitions)).cast("int"))
-        known = flat.select("fp", "id", "topic", "n", F.col("id").alias("recording_id"))
-        if self.batches:
-            positive = flat.select("fp", "part").distinct().groupBy("part").cogroup(self._table("filters").groupBy("part")).applyInPandas(_screen, "fp long")
-            stored = self._table("fingerprints").join(positive, "fp", "left_semi")
-            known = known.unionByName(stored)
-        other = known.select("fp", *(F.col(c).alias("k_" + c) for c in ("id", "topic", "n", "recording_id")))
-        pairs = (
-            flat.join(other, "fp")
-            .where("k_id < id OR k_recording_id < id")
-            .groupBy("id", "topic", "n", "k_id", "k_topic", "k_n", "k_recording_id")
-            .agg(F.count("*").alias("shared"))
-            .where(F.col("shared") >= least_coverage * F.least("n", "k_n"))
-        )
-
-        @F.arrow_udf(T.BooleanType())
-        def verified(a: pa.Array, b: pa.Array) -> pa.Array:
-            return pa.array([same_topic(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())], pa.bool_())
-
-        links = cut(pairs.where(verified("topic", "k_topic")).select("id", "k_id", "k_recording_id"))
-        labels = cut(records.select("id").join(links.groupBy("id").agg(F.min("k_recording_id").alias("to")), "id", "left").select("id", F.least("id", F.coalesce("to", "id")).alias("recording_id")))
-        inside = links.join(labels.select(F.col("id").alias("k_id")), "k_id", "left_semi").select("id", "k_id")
-        both = inside.union(inside.select(F.col("k_id").alias("id"), F.col("id").alias("k_id"))).distinct()
-        while True:  # chains within the batch: the lowest label moves along the links
-            near = both.join(labels.select(F.col("id").alias("k_id"), F.col("recording_id").alias("via")), "k_id").groupBy("id").agg(F.min("via").alias("via"))
-            nxt = cut(labels.join(near, "id", "left").select("id", F.least("recording_id", F.coalesce("via", "recording_id")).alias("recording_id"), (F.col("via") < F.col("recording_id")).alias("moved")))
-            labels = nxt.select("id", "recording_id")
-            if nxt.where("moved").isEmpty():
-                break
-        root = records.select("context", "topic", F.col("id").alias("root")).join(labels.withColumnRenamed("id", "root"), "root")
-        self._append(flat.select("fp", "part", "id", "topic", "n").join(labels, "id"))
-        return keyed.join(root, ["context", "topic"]).select("id", F.least("id", "recording_id").alias("recording_id"))
-
-    def _append(self, fps: DataFrame) -> None:
-        fps.select("fp", "id", "topic", "n", "recording_id").write.mode("append").parquet(f"{self.path}/fingerprints")
-        built = fps.select("fp", "part").distinct().groupBy("part").applyInPandas(_filter, "part int, bits long, filter binary")
-        built.write.mode("append").parquet(f"{self.path}/filters")
-        self.batches += 1
-
-
-def find_repeats(files: DataFrame, committees: DataFrame, rounds: int = 2) -> DataFrame:
+        flat = cut(records.withColumn("fps", winnow(F.col("context"), F.col("topic"))).select("id", "context", "topic", F.size("fps").alias("n"), F.explode("fps").alias("fp")))
+        rows = flat.count()
+        if not rows:
+            return keyed.select("id", F.col("id").alias("recording_id"))
+        known = flat.select("fp", "topic", "n", F.col("id").alias("node"))
+        if runs:
+            known = known.unionByName(self._stored(flat, rows, version, runs).select("fp", "topic", "n", F.col("recording_id").alias("node")))
+        other = known.select("fp", F.col("topic").alias("k_topic"), F.col("n").alias("k_n"), "node")
+        pairs = flat.join(other, "fp").where("node <> id").groupBy("id", "topic", "n", "node", "k_topic", "k_n").agg(F.count("*").alias("shared"))
+        pairs = pairs.where((F.col("shared") >= least_coverage * F.least("n", "k_n")) & _same(F.col("topic"), F.col("k_topic")))
+        labels = components(pairs.select(F.col("id").alias("a"), F.col("node").alias("b")))
+        own = records.join(labels, F.col("id") == F.col("node"), "left").select("context", "topic", F.col("id").alias("root"), F.coalesce("label", "id").alias("recording_id"))
+        out = cut(keyed.join(own, ["context", "topic"]).select("id", "recording_id"))
+        ids = keyed.select(F.col("id").alias("node"))
+        self._commit(version + 1, runs, flat, rows, out, labels.where("label < node").join(ids, "node", "left_anti"))
+        return out
+
+    def _commit(self, version: int, runs: list, flat: DataFrame, rows: int, out: DataFrame, moved: DataFrame) -> None:
+        new = cut(moved.select(F.col("node").alias("old"), F.col("label").alias("new")))
+        if not new.isEmpty():
+            # merges lead to the end at once: those that led to a recording now merged are renewed
+            again = self._merges(version).withColumnRenamed("new", "mid").join(new.withColumnRenamed("old", "mid"), "mid").select("old", "new")
+            cut(new.unionByName(again).withColumn("version", F.lit(version).cast("long"))).select("version", "old", "new").write.mode("append").parquet(f"{self.path}/merges")
+        out.write.mode("overwrite").parquet(f"{self.path}/members/{version}")
+        labelled = flat.join(out, "id").select("fp", "id", "context", "topic", "n", "recording_id")
+        live = [(r["run"], r["tier"], r["parts"], r["rows"]) for r in runs] + [self._write(f"r{version}", 0, labelled, rows)]
+        tier, gone = 0, []
+        while len(same := [r for r in live if r[1] == tier]) >= self.fan:
+            merged = self._read("fingerprints", [f"{self.path}/fingerprints/run={r[0]}" for r in same]).drop("run", "part")
+            live = [r for r in live if r[1] != tier] + [self._write(f"r{version}t{tier + 1}", tier + 1, merged, sum(r[3] for r in same))]
+            gone, tier = gone + [r[0] for r in same], tier + 1
+        self.spark.createDataFrame([(version, *r) for r in live], _STORED["manifest"]).coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
+        for name in gone:
+            for kind in (f"fingerprints/run={name}", f"filters/{name}"):
+                fs, at = file_system(self.spark, f"{self.path}/{kind}")
+                fs.delete(at, True)
+
+    def _write(self, run: str, tier: int, fps: DataFrame, rows: int) -> tuple:
+        parts = max(1, -(-rows // self.part_rows))
+        kept = fps.withColumns({"run": F.lit(run), "part": F.pmod("fp", F.lit(parts)).cast("int")})
+        at = f"{self.path}/fingerprints/run={run}"
+        kept.drop("run").repartition(parts, "part").sortWithinPartitions("part", "fp").write.mode("overwrite").partitionBy("part").parquet(at)
+        built = self._read("fingerprints", [at]).select("run", "part", "fp").distinct().groupBy("run", "part").applyInPandas(_filter, _STORED["filters"])
+        built.write.mode("overwrite").parquet(f"{self.path}/filters/{run}")
+        return run, tier, parts, rows
+
+
+def _same(a: Column, b: Column) -> Column:
+    @F.arrow_udf(T.BooleanType())
+    def verified(x: pa.Array, y: pa.Array) -> pa.Array:
+        return pa.array([same_topic(s, t) for s, t in zip(x.to_pylist(), y.to_pylist())], pa.bool_())
+
+    return verified(a, b)
+
+
+def find_repeats(files: DataFrame, committees: DataFrame, rounds: int = 3, store: RecordingStore | None = None) -> DataFrame:
     """(id_a, id_b): id_b repeats the recording whose lowest id is id_a.
 
-    The batches (date_created) are admitted in ``rounds`` consecutive groups, each
-    checked against the store left by the groups before.
+    The delivered batches (date_created) are admitted in ``rounds`` groups of consecutive
+    batches, each checked against the store left by those before; the result doesn't
+    depend on the cuts, as later links relabel earlier records.
     """
     spark = files.sparkSession
     titles = cut(read_titles(files, committees))
     edges = [b for b in (titles.selectExpr(f"percentile_approx(unix_micros(batch), array({','.join(str(i / rounds) for i in range(1, rounds))})) AS q").first()["q"] or [])] if rounds > 1 else []
-    store, out, low = RecordingStore(spark), None, None
+    store, low = store or RecordingStore(spark), None
     at = F.coalesce(F.unix_micros("batch"), F.lit(1 << 62))
     for high in [*sorted(set(edges)), None]:
         part = titles
@@ -301,6 +382,7 @@ def find_repeats(files: DataFrame, committees: DataFrame, rounds: int = 2) -> Da
             part = part.where(at > low)
         if high is not None:
             part = part.where(at <= high)
-        got = store.admit(part)
-        out, low = got if out is None else out.unionByName(got), high
-    return out.where("recording_id < id").select(F.col("recording_id").alias("id_a"), F.col("id").alias("id_b"))
+        store.admit(part)
+        low = high
+    kind = dict(files.dtypes)["id"]
+    return store.members().where("recording_id < id").select(F.col("recording_id").cast(kind).alias("id_a"), F.col("id").cast(kind).alias("id_b"))

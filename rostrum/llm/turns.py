@@ -163,7 +163,7 @@ def _turns(transcript: DataFrame, people: DataFrame, texts: bool) -> DataFrame:
     piece = _pieces(transcript, people)
     if not texts:
         piece = piece.withColumn("text", F.lit(None).cast("string"))
-    piece = sequences.chunk(piece, key, ORDER, "pieces")
+    piece = sequences.chunk(piece, key, ORDER, "pieces", heavy=True)
     # a sign opens a tentative turn, and so does another known person than the last since the last sign
     event = F.when(F.col("sign") | F.col("pid").isNotNull(), F.struct("pid"))
     piece = sequences.forward(piece, key, ORDER, before={"_any": F.lit(True), "_l": event})
