@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Title words that keep a record, that drop it, and role words that are no names.
-SKIP_WORDS = ["commission", "workgroup", "work group", "task force", "advisory", "council", "caucus", "press conference", "joint subcommittee", "board"]
+# Title words that drop a record, and those that keep it all the same.
+SKIP_WORDS = [
+    "commission", "board", "authority", "jlarc", "vrs", "crime commission", "code commission", "civic education", "manufacturing development", "small business commission",
+    "health insurance reform commission", "recurrent flooding", "mei project approval commission", "public hearing",
+]
 KEEP_WORDS = ["session", "floor"]
-ROLE_WORDS = ["analyst", "staff", "counsel", "clerk", "guest", "patron", "testimony", "recess", "vote", "roll call", "chaplain", "presenter", "agency"]
-# Messages of downloads that never succeed, and of those that may.
-PERMANENT = ["404", "410", "403", "not found", "forbidden", "unavailable", "private video", "removed"]
-TRANSIENT = ["timeout", "timed out", "429", "500", "502", "503", "connection reset", "temporarily"]
+# Role words that are no names.
+ROLE_WORDS = [
+    "staff", "attorney", "counsel", "clerk", "director", "manager", "assistant", "secretary", "chair", "chairman", "chairwoman", "vice", "president", "officer", "coordinator", "analyst",
+    "advisor", "administrator", "executive", "chief", "commissioner", "committee", "subcommittee", "member", "representative",
+]
+# Messages of downloads that never succeed, of those that may, and the reasons shown.
+PERMANENT = ["sign in to confirm", "video unavailable", "this video is private", "this video has been removed", "http error 403", "http error 404", "this video is no longer available", "file is too small"]
+TRANSIENT = ["timeout", "timed out", "connection refused", "connection reset", "network is unreachable", "could not resolve host", "ssl", "certificate"]
+REASONS = [("sign in to confirm", "Bot detection"), ("video unavailable", "Video unavailable"), ("removed", "Video unavailable"), ("private", "Private video"), ("403", "Access forbidden"), ("404", "Video not found"), ("too small", "Invalid download")]
 MEDIA_HOST = "https://video.example.org"
 
 
@@ -30,10 +38,13 @@ def keep_title(title: Column) -> Column:
 
 
 def normalize_title(title: Column) -> Column:
-    """The first part of a dash-separated title that is no date, time, room or adjournment."""
-    parts = F.filter(F.transform(F.split(title, r"\s+-\s+"), lambda x: F.trim(x)), lambda x: x != "")
-    drop = r"(?i)^(?:(?:january|february|march|april|may|june|july|august|september|october|november|december) \d{1,2}, \d{4}|sr\s.*|.*\b\d{1,2}:\d{2}\s*[ap]\.?m\b.*|.*adjournment.*)$"
-    return F.coalesce(F.get(F.filter(parts, lambda x: ~x.rlike(drop)), F.lit(0)), F.trim(title))
+    """The first part of a title cut at dashes that is no clock time, room or adjournment,
+    a date in front left out; the trimmed title if no part is left."""
+    parts = F.filter(F.transform(F.split(title, r"\s*-\s*"), lambda x: F.trim(x)), lambda x: x != "")
+    dated = F.get(parts, F.lit(0)).rlike(r"^[A-Za-z]+\s+\d{1,2},\s+\d{4}$")
+    parts = F.when(dated, F.slice(parts, F.lit(2), F.size(parts))).otherwise(parts)
+    drop = r"\b\d{1,2}:\d{2}\s*(?:am|pm|m\.?)|adjournment|^sr\s+[a-z]\b|^sr\s*\d+"
+    return F.coalesce(F.get(F.filter(parts, lambda x: ~F.lower(x).rlike(drop)), F.lit(0)), F.trim(title))
 
 
 def is_role(text: Column) -> Column:
@@ -45,6 +56,14 @@ def failure_kind(message: Column) -> Column:
     return F.when(_any(message, PERMANENT), "permanent").when(_any(message, TRANSIENT), "transient").otherwise("permanent")
 
 
+def failure_reason(message: Column) -> Column:
+    """A short reason for a failed download."""
+    got = F.lit("Download failed")
+    for word, reason in reversed(REASONS):
+        got = F.when(F.lower(message).contains(word), reason).otherwise(got)
+    return got
+
+
 def url_kind(url: Column) -> Column:
     low = F.lower(url)
     return (
@@ -113,3 +132,40 @@ def event_type(title: Column) -> Column:
 
 def strip_suffix_tag(title: Column) -> Column:
     return F.trim(F.regexp_replace(title, r"\s*\[[^\]]*\]\s*$", ""))
+
+
+def archive_page_id(url: Column) -> Column:
+    """The identifier in an archive's details or download address; NULL for others."""
+    return F.nullif(F.regexp_extract(url, r"/(?:details|download)/([^/?#]+)", 1), F.lit(""))
+
+
+def archive_download(host: str, identifier: Column, name: Column) -> Column:
+    """Address of a file of an archived item; the name is escaped but for its slashes."""
+    escaped = F.regexp_replace(F.regexp_replace(F.url_encode(name), r"\+", "%20"), "%2F", "/")
+    escaped = F.replace(F.replace(escaped, F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+    return F.concat(F.lit(f"{host}/download/"), identifier, F.lit("/"), escaped)
+
+
+def video_key(url: Column) -> Column:
+    """The storage key in an address: its path after the host without the leading slash."""
+    return F.regexp_replace(F.regexp_replace(url, r"^[a-z]+://[^/]*", ""), r"^/+", "")
+
+
+def percentage(part: Column, total: Column) -> Column:
+    """part of total as a text of one decimal; 0.0% of nothing."""
+    return F.when(F.coalesce(total, F.lit(0)) == 0, "0.0%").otherwise(F.concat(F.format_string("%.1f", F.round(100.0 * part / total, 1)), F.lit("%")))
+
+
+def any_youtube_id(record: Column) -> Column:
+    """The video id of a scraped JSON record: its field, else from the addresses it holds."""
+    at = lambda k: F.nullif(F.get_json_object(record, f"$.{k}"), F.lit(""))
+    return F.coalesce(at("youtube_id"), youtube_id(at("embed_url")), youtube_id(at("video_url")), youtube_id(at("youtube_url")))
+
+
+def archive_details(chamber: Column, committee: Column, title: Column, day: Column, place: str = "") -> Column:
+    """STRUCT<title, subject, description> of an archived recording."""
+    body = F.coalesce(F.nullif(committee, F.lit("")), F.lit("Floor session"))
+    when = F.date_format(day, "MMMM d, yyyy")
+    subject = F.array_compact(F.array(F.nullif(F.lit(place), F.lit("")), F.initcap(F.lower(chamber)), body))
+    text = F.concat_ws(" ", F.concat(F.initcap(F.lower(chamber)), F.lit(",")), F.concat(body, F.lit(",")), F.concat(when, F.lit(".")), title)
+    return F.struct(archive_title(chamber, title, day).alias("title"), F.concat_ws("; ", subject).alias("subject"), text.alias("description"))
