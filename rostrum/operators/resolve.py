@@ -10,12 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType
 
-from rostrum.functions import similarity, text
-from rostrum.operators import context
+from rostrum.functions import bills, similarity, text
+from rostrum.operators import context, jobs
 
 THRESHOLD, CONSENSUS, HISTORY = 75.0, 70.0, 65.0
-# Neighbours raise a score by a fifth at most, the party by a twentieth: less cannot reach THRESHOLD.
-LEAST = THRESHOLD / (1.2 * 1.05) - 1e-9
+# Neighbours raise a score by a fifth at most, the list of speakers by a tenth, the party by a
+# twentieth: less cannot reach THRESHOLD.
+LEAST = THRESHOLD / (1.2 * 1.1 * 1.05) - 1e-9
 # Letters and digits taken for each other, one at a time.
 MISREAD = {"0": "Oo", "O": "0", "o": "0", "1": "lIi", "l": "1I", "I": "1l", "5": "Ss", "S": "5", "8": "B", "B": "8", "6": "G", "G": "6"}
 MOST_READINGS = 10
@@ -142,7 +143,7 @@ def resolve_members(video_index: DataFrame, files: DataFrame, people: DataFrame,
     """(id, person_id, confidence, source) of unresolved legislator captions.
 
     name: the best score, raised by members seen within five frames (5 % each, 20 % at
-    most) and by a matching party (5 %), if it reaches THRESHOLD; consensus: three votes
+    most), by standing in the record's list of speakers (10 %) and by a matching party (5 %), if it reaches THRESHOLD; consensus: three votes
     of the neighbours, unless the text names a role; history: the majority of the text.
     """
     days = context.latest_start(files.select("id", "date").dropDuplicates(["id"]), sessions, "id", "date", "id", "date_started", "date_ended", "session_id").select(F.col("id").alias("fid"), "session_id")
@@ -152,8 +153,9 @@ def resolve_members(video_index: DataFrame, files: DataFrame, people: DataFrame,
     scores = best_scores(todo.where("session_id IS NOT NULL"), members)
     tried = todo.select("id", "file_id", "frame", "session_id", "cleaned", "said").join(scores, ["session_id", "cleaned"]).withColumn("linked_id", F.col("person_id"))
     seen_near = context.neighbours(tried.select(F.struct("id", "person_id").alias("id"), "file_id", "frame", "linked_id"), seen, 5).select("id.*", "same")
-    boosted = tried.join(seen_near, ["id", "person_id"], "left")
-    rise = (1 + F.least(F.lit(0.2), 0.05 * F.coalesce("same", F.lit(0)))) * F.when(F.col("said") == F.col("party"), 1.05).otherwise(1.0)
+    listed = files.where("video_index_cache IS NOT NULL").select(F.col("id").alias("file_id"), F.explode(jobs.listed_people(F.col("video_index_cache"))).alias("person_id")).distinct().withColumn("listed", F.lit(True))
+    boosted = tried.join(seen_near, ["id", "person_id"], "left").join(listed, ["file_id", "person_id"], "left")
+    rise = (1 + F.least(F.lit(0.2), 0.05 * F.coalesce("same", F.lit(0)))) * F.when(F.col("listed"), 1.1).otherwise(1.0) * F.when(F.col("said") == F.col("party"), 1.05).otherwise(1.0)
     ranked = boosted.withColumn("c", F.least(F.lit(100.0), F.col("score") * rise)).where(F.col("c") >= THRESHOLD)
     named = ranked.groupBy("id").agg(F.min(F.struct((-F.col("c")).alias("m"), "person_id")).alias("b")).select("id", F.col("b.person_id").alias("n_id"), (-F.col("b.m")).alias("n_c"))
     votes = context.consensus(todo, seen, 5, 3).select("id", F.col("linked_id").alias("v_id"))
@@ -171,15 +173,54 @@ def resolve_members(video_index: DataFrame, files: DataFrame, people: DataFrame,
     ).where("person_id IS NOT NULL")
 
 
-def resolve_bills(video_index: DataFrame, label: Column) -> DataFrame:
-    """(id, linked_id, confidence) of unresolved bill captions: the bill that the same
-    number means in the same file's rows (95 if within ten frames, else 92), else five
-    votes of the neighbours (88)."""
-    seen = video_index.dropDuplicates(["id"]).where("type = 'bill' AND coalesce(ignored, 'n') <> 'y'").withColumns({"frame": F.col("screenshot").try_cast("long"), "label": label})
-    todo = seen.where("linked_id IS NULL")
-    known = seen.where("linked_id IS NOT NULL AND label IS NOT NULL").groupBy(F.col("file_id").alias("kf"), F.col("label").alias("kl")).agg(F.min("linked_id").alias("known"))
-    exact = todo.join(known, (F.col("file_id") == F.col("kf")) & (F.col("label") == F.col("kl"))).select("id", "file_id", "frame", F.col("known").alias("linked_id"))
-    near = context.neighbours(exact, seen, 10).select("id", "same")
-    exact = exact.join(near, "id", "left").select("id", "linked_id", F.when(F.col("same") > 0, 95.0).otherwise(92.0).alias("confidence"))
-    votes = context.consensus(todo, seen, 10, 5).select("id", "linked_id", F.lit(88.0).alias("confidence")).join(exact.select("id"), "id", "left_anti")
-    return exact.unionByName(votes)
+def resolve_bills(video_index: DataFrame, files: DataFrame, sessions: DataFrame, bill_list: DataFrame) -> DataFrame:
+    """(id, linked_id, confidence) of unresolved bill captions.
+
+    A caption is read into chamber and number and looked up in the bills (id, session_id,
+    chamber, number) of the file's session: 100 if the number is in the record's agenda, 95
+    if neighbours within ten frames show that bill, else 92. If none is there, readings of
+    one digit otherwise count if they are in the agenda (92, the first reading wins). Else
+    five votes of the neighbours for a bill of that session and chamber (88), else the
+    majority of the text over all files if it is a bill of the session (65). Of bills of one
+    number the lowest id is taken.
+    """
+    c = F.col
+    days = context.latest_start(files.select("id", "date", "video_index_cache").dropDuplicates(["id"]), sessions, "id", "date", "id", "date_started", "date_ended", "session_id").select(c("id").alias("fid"), "session_id", jobs.agenda_bills(c("video_index_cache")).alias("agenda"))
+    seen = video_index.dropDuplicates(["id"]).where("type = 'bill' AND coalesce(ignored, 'n') <> 'y'").withColumn("frame", c("screenshot").try_cast("long"))
+    todo = seen.where("linked_id IS NULL").join(days, c("file_id") == c("fid"), "left").withColumn("p", bills.parse(c("raw_text")))
+    todo = todo.select("id", "file_id", "frame", "raw_text", "session_id", F.coalesce("agenda", F.array().cast("array<int>")).alias("agenda"), c("p.chamber").alias("chamber"), c("p.number").alias("number"))
+    plain = lambda n: F.regexp_replace(F.regexp_replace(n, "[^0-9]", ""), r"^0+(?=\d)", "")
+    known = bill_list.groupBy(c("session_id").alias("bs"), F.lower("chamber").alias("bc"), plain(c("number")).alias("bn")).agg(F.min("id").alias("bill"))
+    tries = todo.where("number IS NOT NULL AND session_id IS NOT NULL").select("*", F.posexplode(bills.variations(c("number"))).alias("try", "as"))
+    tries = tries.where((c("try") == 0) | F.array_contains("agenda", c("as").try_cast("int")))
+    met = tries.join(known, (c("session_id") == c("bs")) & (c("chamber") == c("bc")) & (plain(c("as")) == c("bn")))
+    first = met.groupBy("id", "file_id", "frame").agg(F.min_by(F.struct("bill", "try", F.array_contains("agenda", c("as").try_cast("int")).alias("on")), "try").alias("m")).select("id", "file_id", "frame", "m.*", c("m.bill").alias("linked_id"))
+    near = context.neighbours(first.select("id", "file_id", "frame", "linked_id"), seen, 10).select("id", "same")
+    exact = first.join(near, "id", "left").select("id", "linked_id", F.when(c("try") > 0, 92.0).when(c("on"), 100.0).when(c("same") > 0, 95.0).otherwise(92.0).alias("confidence"))
+    rest = todo.join(exact.select("id"), "id", "left_anti")
+    of = bill_list.select(c("id").alias("linked_id"), c("session_id").alias("bs"), F.lower("chamber").alias("bc"))
+    votes = context.consensus(rest.where("number IS NOT NULL"), seen, 10, 5).join(rest.select("id", "session_id", "chamber"), "id").join(of, "linked_id")
+    votes = votes.where("session_id = bs AND chamber = bc").select("id", "linked_id", F.lit(88.0).alias("confidence"))
+    majority = context.majority(seen.where("linked_id IS NOT NULL"), ["raw_text"], "linked_id").select("raw_text", "linked_id")
+    past = rest.join(votes.select("id"), "id", "left_anti").join(majority, "raw_text").join(of, "linked_id").where("session_id = bs").select("id", "linked_id", F.lit(HISTORY).alias("confidence"))
+    return exact.unionByName(votes).unionByName(past)
+
+
+def resolve_captions(video_index: DataFrame, files: DataFrame, people: DataFrame, terms: DataFrame, sessions: DataFrame, bill_list: DataFrame, today: Column, kind: str | None = None, force: bool = False, file_ids: list[int] | None = None) -> DataFrame:
+    """(id, type, linked_id, confidence) of the captions of one kind or both, of all files
+    or some. ``force`` resolves those that have a link anew; they are no evidence then."""
+    rows = video_index if file_ids is None else video_index.where(F.col("file_id").isin(file_ids))
+    rows = rows.withColumn("linked_id", F.lit(None).cast("long")) if force else rows
+    out = []
+    if kind in (None, "legislator"):
+        out.append(resolve_members(rows, files, people, terms, sessions, today).select("id", F.lit("legislator").alias("type"), F.col("person_id").cast("long").alias("linked_id"), "confidence"))
+    if kind in (None, "bill"):
+        out.append(resolve_bills(rows, files, sessions, bill_list).select("id", F.lit("bill").alias("type"), F.col("linked_id").cast("long").alias("linked_id"), "confidence"))
+    return out[0].unionByName(out[1]) if len(out) > 1 else out[0]
+
+
+def resolution_report(video_index: DataFrame, resolved: DataFrame) -> DataFrame:
+    """(file_id, type, total, resolved, share): how many captions without a link got one."""
+    todo = video_index.dropDuplicates(["id"]).where("linked_id IS NULL AND coalesce(ignored, 'n') <> 'y'").select("id", "file_id", "type")
+    got = todo.join(resolved.select("id", F.lit(1).alias("_r")), "id", "left").groupBy("file_id", "type").agg(F.count("*").alias("total"), F.count("_r").alias("resolved"))
+    return got.withColumn("share", text.percentage(F.col("resolved"), F.col("total")))

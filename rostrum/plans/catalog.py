@@ -114,13 +114,23 @@ def temporal_context(spark: SparkSession, sf: str) -> DataFrame:
     return context.neighbours(o.where("type = 'legislator'"), o, 5)
 
 
-@query(f"""{OBS_SQL}, v AS (SELECT p.id, q.linked_id, count(*) AS votes, min(q.frame * 100000000 + q.id) AS seen FROM o p JOIN o q ON q.file_id = p.file_id AND q.frame BETWEEN greatest(0, p.frame - 10) AND p.frame + 10
-  AND q.frame <> p.frame AND q.linked_id IS NOT NULL AND q.type = p.type WHERE p.type = 'legislator' AND p.linked_id IS NULL GROUP BY ALL),
+def _consensus_sql(kind: str, reach: int, least: int) -> str:
+    return f"""{OBS_SQL}, v AS (SELECT p.id, q.linked_id, count(*) AS votes, min(q.frame * 100000000 + q.id) AS seen FROM o p JOIN o q ON q.file_id = p.file_id AND q.frame BETWEEN greatest(0, p.frame - {reach}) AND p.frame + {reach}
+  AND q.frame <> p.frame AND q.linked_id IS NOT NULL WHERE p.type = '{kind}' AND p.linked_id IS NULL GROUP BY ALL),
 b AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY votes DESC, seen) AS r FROM v)
-SELECT id, linked_id, votes FROM b WHERE r = 1 AND votes >= 2""")
+SELECT id, linked_id, votes FROM b WHERE r = 1 AND votes >= {least}"""
+
+
+@query(_consensus_sql("legislator", 5, 3))
 def context_consensus(spark: SparkSession, sf: str) -> DataFrame:
-    o = observations(spark, sf).where("type = 'legislator'")
-    return context.consensus(o.where("linked_id IS NULL"), o, 10, 2)
+    o = observations(spark, sf)
+    return context.consensus(o.where("type = 'legislator' AND linked_id IS NULL"), o, 5, 3)
+
+
+@query(_consensus_sql("bill", 10, 5))
+def bill_consensus(spark: SparkSession, sf: str) -> DataFrame:
+    o = observations(spark, sf)
+    return context.consensus(o.where("type = 'bill' AND linked_id IS NULL"), o, 10, 5)
 
 
 MAJORITY_SQL = f"""{OBS_SQL}, c AS (SELECT raw_text, type, linked_id, count(*) AS votes FROM o WHERE linked_id IS NOT NULL AND coalesce(ignored, 'n') <> 'y' GROUP BY ALL),
@@ -157,17 +167,6 @@ def interval_overlap(spark: SparkSession, sf: str) -> DataFrame:
     return members.join(F.broadcast(s), (F.col("date_started") <= F.col("b")) & (F.col("date_ended").isNull() | (F.col("date_ended") >= F.col("a")))).select("session_id", "person_id", "party", "district_id").distinct()  # fixed table
 
 
-ERAS = [("2008-01-01", "early"), ("2014-06-01", "middle"), ("2020-01-01", "late")]
-
-
-@query(f"""WITH {FILES_SQL} SELECT id, coalesce((SELECT arg_max(e.era, e.d) FROM (VALUES {", ".join(f"(DATE '{d}', '{e}')" for d, e in ERAS)}) e(d, era) WHERE e.d <= f.date), 'default') AS era FROM f""")
-def era_asof(spark: SparkSession, sf: str) -> DataFrame:
-    era = F.lit("default")
-    for day, name in ERAS:
-        era = F.when(F.col("date") >= F.lit(day).cast("date"), name).otherwise(era)
-    return files(spark, sf).select("id", era.alias("era"))
-
-
 # -- eligibility, quality, dedup ---------------------------------------------------------
 
 
@@ -314,16 +313,17 @@ def stale_claims(spark: SparkSession, sf: str) -> DataFrame:
     return files(spark, sf).where(ingest.stale_claims(None, "date_modified", F.lit("2016-06-01 12:00:00").cast("timestamp"), 3)).select("id")
 
 
-@query("""WITH f AS (SELECT DISTINCT ON (id) id, video_index_cache AS c FROM files) SELECT id, true AS verified, CAST(c ->> '$.event_type' AS VARCHAR) AS event_type FROM f WHERE c IS NOT NULL""")
+@query("""WITH f AS (SELECT DISTINCT ON (id) id, video_index_cache AS c FROM files UNION ALL SELECT DISTINCT ON (id) -id, raw_metadata FROM files)
+SELECT id, CAST(json_merge_patch(coalesce(c, '{}')::JSON, '{"event_type":"floor","classification_verified":true}'::JSON) AS VARCHAR) AS patched FROM f""")
 def json_patch(spark: SparkSession, sf: str) -> DataFrame:
-    f = files(spark, sf).where("video_index_cache IS NOT NULL")
-    p = ingest.patch_json(F.col("video_index_cache"), "classification_verified", F.lit("true"))
-    return f.select("id", (F.get_json_object(p, "$.classification_verified") == "true").alias("verified"), F.get_json_object(p, "$.event_type").alias("event_type"))
+    f = files(spark, sf)
+    both = f.select("id", F.col("video_index_cache").alias("c")).unionByName(f.select((-F.col("id")).alias("id"), F.col("raw_metadata").alias("c")))
+    return both.select("id", ingest.patch_json(F.col("c"), {"event_type": F.lit('"floor"'), "classification_verified": F.lit("true")}).alias("patched"))
 
 
-@query(f"""{OBS_SQL} SELECT file_id, count(*) AS n, min(time) AS first FROM o WHERE regexp_matches(time, '^\\d+:\\d+:\\d+$') AND CAST(split_part(time, ':', 1) AS INT) * 3600 + CAST(split_part(time, ':', 2) AS INT) * 60 + CAST(split_part(time, ':', 3) AS INT) >= 3600 GROUP BY file_id""")
+@query(f"""{OBS_SQL} SELECT file_id, count(*) AS n, min(time) AS first FROM o WHERE regexp_matches(time, '^\\d+:\\d+:\\d+$') AND CAST(split_part(time, ':', 1) AS INT) * 3600 + CAST(split_part(time, ':', 2) AS INT) * 60 + CAST(split_part(time, ':', 3) AS INT) >= 18000 GROUP BY file_id""")
 def suspicious_times(spark: SparkSession, sf: str) -> DataFrame:
-    return observations(spark, sf).where(F.col("time").rlike(r"^\d+:\d+:\d+$") & (times.seconds(F.col("time")) >= 3600)).groupBy("file_id").agg(F.count("*").alias("n"), F.min("time").alias("first"))
+    return observations(spark, sf).where(F.col("time").rlike(r"^\d+:\d+:\d+$") & (times.seconds(F.col("time")) >= 18000)).groupBy("file_id").agg(F.count("*").alias("n"), F.min("time").alias("first"))
 
 
 @query(f"""{OBS_SQL} SELECT coalesce(CAST(linked_id AS VARCHAR), 'unresolved') AS entity, type, count(*) AS n, count(DISTINCT file_id) AS files FROM o WHERE coalesce(ignored, 'n') <> 'y' GROUP BY ALL""")
@@ -337,9 +337,9 @@ def index_by_entity(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""{OBS_SQL} SELECT id, CASE WHEN len(string_split(time, ':')) = 3 THEN TRY_CAST(string_split(time, ':')[1] AS INT) * 3600 + TRY_CAST(string_split(time, ':')[2] AS INT) * 60 + TRY_CAST(string_split(time, ':')[3] AS INT) ELSE 0 END AS strict_s,
   CASE WHEN time IS NULL THEN NULL ELSE coalesce(TRY_CAST(string_split(time, ':')[1] AS INT), 0) * 3600 + coalesce(TRY_CAST(string_split(time, ':')[2] AS INT), 0) * 60 + coalesce(TRY_CAST(string_split(time, ':')[3] AS INT), 0) END AS padded_s,
-  printf('%02d:%02d:%02d', t // 3600, t % 3600 // 60, t % 60) AS clock, printf('%08d', t + 1) AS frame_name FROM o WHERE t >= 0""")
+  printf('%02d:%02d:%02d', g // 3600, g % 3600 // 60, g % 60) AS clock, printf('%08d', greatest(1, t + 1)) AS frame_name FROM (SELECT *, greatest(0, t) AS g FROM o)""")
 def time_parse(spark: SparkSession, sf: str) -> DataFrame:
-    o, c = observations(spark, sf).where("t >= 0"), F.col("time")
+    o, c = observations(spark, sf), F.col("time")
     return o.select("id", times.seconds(c).alias("strict_s"), F.when(c.isNotNull(), times.seconds_padded(c)).alias("padded_s"), times.clock(F.col("t")).alias("clock"), times.screenshot_number(F.col("t")).alias("frame_name"))
 
 
@@ -358,11 +358,7 @@ def title_date(spark: SparkSession, sf: str) -> DataFrame:
     return y.select("id", "fetched_at", times.title_date(F.col("snippet.title")).alias("day"))
 
 
-def _words_sql(col: str, words: list[str]) -> str:
-    return "(" + " OR ".join(f"contains(lower({col}), '{w}')" for w in words) + ")"
-
-
-@query(f"""SELECT id, fetched_at, t = '' OR NOT {_words_sql("t", text.SKIP_WORDS)} OR {_words_sql("t", text.KEEP_WORDS)} AS keep,
+@query("""SELECT id, fetched_at, t = '' OR NOT regexp_matches(lower(t), 'commission|board|authority|jlarc|vrs|civic education|manufacturing development|recurrent flooding|public hearing') OR regexp_matches(lower(t), 'session|floor') AS keep,
 CASE WHEN regexp_matches(lower(t), 'sub-?committee|subcmte|\\bsub\\b') THEN 'subcommittee' WHEN regexp_matches(lower(t), '\\b(session|floor|chamber)\\b') THEN 'floor' WHEN contains(lower(t), 'committee') THEN 'committee' ELSE 'floor' END AS event_type
 FROM (SELECT id, fetched_at, coalesce(snippet.title, '') AS t FROM youtube_videos)""")
 def title_filter(spark: SparkSession, sf: str) -> DataFrame:
@@ -370,41 +366,54 @@ def title_filter(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "youtube_videos").select("id", "fetched_at", text.keep_title(t).alias("keep"), text.event_type(t).alias("event_type"))
 
 
-@query("""SELECT id, fetched_at, coalesce(list_filter(list_filter(list_transform(regexp_split_to_array(t, '\\s+-\\s+'), lambda x: trim(x)), lambda x: x <> ''),
-  lambda x: NOT regexp_matches(x, '^((january|february|march|april|may|june|july|august|september|october|november|december) [0-9]{1,2}, [0-9]{4}|sr\\s.*|.*\\b[0-9]{1,2}:[0-9]{2}\\s*[ap]\\.?m\\b.*|.*adjournment.*)$', 'i'))[1], trim(t)) AS title
-FROM (SELECT id, fetched_at, snippet.title AS t FROM youtube_videos WHERE snippet.title IS NOT NULL)""")
+@query("""WITH p AS (SELECT id, fetched_at, t, list_filter(list_transform(regexp_split_to_array(t, '\\s*-\\s*'), lambda x: trim(x)), lambda x: x <> '') AS l FROM (SELECT id, fetched_at, snippet.title AS t FROM youtube_videos WHERE snippet.title IS NOT NULL)),
+q AS (SELECT *, CASE WHEN regexp_matches(l[1], '^[A-Za-z]+\\s+[0-9]{1,2},\\s+[0-9]{4}$') THEN l[2:] ELSE l END AS m FROM p)
+SELECT id, fetched_at, coalesce(list_filter(m, lambda x: NOT regexp_matches(lower(x), '\\b[0-9]{1,2}:[0-9]{2}\\s*(am|pm|m)|\\b[0-9]{1,2}:[0-9]{2}\\s*m\\.?') AND NOT contains(lower(x), 'adjournment') AND NOT regexp_matches(lower(x), '^sr\\s+[a-z]\\b|^sr\\s*[0-9]'))[1], trim(t)) AS title FROM q""")
 def title_normalize(spark: SparkSession, sf: str) -> DataFrame:
     y = table(spark, sf, "youtube_videos").where("snippet.title IS NOT NULL")
     return y.select("id", "fetched_at", text.normalize_title(F.col("snippet.title")).alias("title"))
 
 
-@query(f"""WITH {FILES_SQL} SELECT id, concat_ws('/', '{text.MEDIA_HOST}', trim(capture_directory, '/'), '00000102.jpg') AS frame, concat('{text.MEDIA_HOST}', regexp_replace(regexp_replace(capture_directory, '/+$', ''), '/full$', ''), '/manifest.json') AS manifest,
-concat(lower(chamber), '/', CASE WHEN committee_id IS NULL THEN 'floor' ELSE concat('committee/', CAST(committee_id AS VARCHAR)) END, '/', strftime(date, '%Y%m%d'), '.mp4') AS key FROM f WHERE capture_directory LIKE '/%' AND chamber IS NOT NULL AND capture_directory NOT LIKE '/video/%' AND date IS NOT NULL""")
+@query(f"""WITH {FILES_SQL} SELECT id, concat_ws('/', 'https://video.example.org', trim(d, '/'), '00000102.jpg') AS frame,
+CASE WHEN d LIKE 'https://%' THEN regexp_replace(regexp_replace(d, '/+$', ''), '/full$', '') || '/manifest.json' ELSE 'https://video.example.org' || regexp_replace(regexp_replace(regexp_replace(d, '/+$', ''), '/full$', ''), '^/video/', '/') || '/manifest.json' END AS manifest,
+concat_ws('/', lower(chamber), CASE WHEN committee_id IS NULL THEN 'floor' ELSE concat('committee/', CAST(committee_id AS VARCHAR)) END, strftime(date, '%Y%m%d')) || '.mp4' AS key
+FROM (SELECT *, capture_directory AS d FROM f UNION ALL SELECT *, '/video' || coalesce(capture_directory, '/x/') || 'full/' FROM f UNION ALL SELECT *, 'https://elsewhere.example' || capture_directory FROM f)""")
 def media_urls(spark: SparkSession, sf: str) -> DataFrame:
-    f = files(spark, sf).where("capture_directory LIKE '/%' AND chamber IS NOT NULL AND capture_directory NOT LIKE '/video/%' AND date IS NOT NULL")
-    d = F.col("capture_directory")
-    return f.select("id", text.screenshot_url(d, F.lit("00000102")).alias("frame"), text.manifest_url(d).alias("manifest"), text.storage_key(F.lower("chamber"), F.col("committee_id").cast("string"), F.col("date")).alias("key"))
+    f, d = files(spark, sf), F.col("capture_directory")
+    forms = F.explode(F.array(d, F.concat(F.lit("/video"), F.coalesce(d, F.lit("/x/")), F.lit("full/")), F.concat(F.lit("https://elsewhere.example"), d)))
+    f = f.withColumn("d", forms)
+    return f.select("id", text.screenshot_url(F.col("d"), F.lit("00000102")).alias("frame"), text.manifest_url(F.col("d")).alias("manifest"), text.storage_key(F.lower("chamber"), F.col("committee_id").cast("string"), F.col("date")).alias("key"))
 
 
 @query(f"""WITH {FILES_SQL} SELECT id, regexp_replace(substr(concat_ws('-', 'rs', lower(chamber), CAST(date AS VARCHAR), regexp_replace(regexp_replace(lower(title), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')), 1, 80), '-+$', '') AS identifier,
-concat(upper(chamber[1]), lower(substr(chamber, 2)), ': ', title, ', ', strftime(date, '%B %-d, %Y')) AS heading FROM f WHERE title IS NOT NULL AND chamber IS NOT NULL""")
+(upper(chamber[1]) || lower(substr(chamber, 2))) || ': ' || title || ', ' || strftime(date, '%B %-d, %Y') AS heading FROM f""")
 def archive_metadata(spark: SparkSession, sf: str) -> DataFrame:
-    f = files(spark, sf).where("title IS NOT NULL AND chamber IS NOT NULL")
+    f = files(spark, sf)
     return f.select("id", text.archive_identifier(F.col("chamber"), F.col("date"), F.col("title")).alias("identifier"), text.archive_title(F.col("chamber"), F.col("title"), F.col("date")).alias("heading"))
 
 
-@query(f"""{OBS_SQL} SELECT id, list_aggregate(list_distinct_ordered, 'string_agg', ' ') AS tokens FROM (SELECT id, list_filter(list_transform(regexp_extract_all(upper(raw_text), '\\b([HS]B\\s*[0-9]{{1,4}})\\b', 1), lambda x: regexp_replace(x, '\\s+', '', 'g')), lambda x, i: true) AS list_distinct_ordered FROM o WHERE type = 'bill')
-WHERE len(list_distinct_ordered) = 1""")
+@query(f"""{OBS_SQL} SELECT id, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), ' ') AS tokens FROM (SELECT id, list_transform(regexp_extract_all(upper(raw_text), '\\b([HS]B\\s*[0-9]{{1,4}})\\b', 1), lambda x: regexp_replace(x, '\\s+', '', 'g')) AS l FROM o WHERE raw_text IS NOT NULL)""")
 def bill_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    o = observations(spark, sf).where("type = 'bill'").select("id", bills.tokens(F.col("raw_text")).alias("b"))
-    return o.where(F.size("b") == 1).select("id", F.array_join("b", " ").alias("tokens"))
+    o = observations(spark, sf).where("raw_text IS NOT NULL")
+    return o.select("id", F.array_join(bills.tokens(F.col("raw_text")), " ").alias("tokens"))
+
+
+# the corrections one after the other, then the forms in order, as text of their own
+BILL_FIXES = [
+    ("\\b[HL1I]\\s*8\\s*([0-9])", "HB \\1"), ("\\b[HL1I]\\s*3\\s*([0-9])", "HB \\1"), ("\\b[HL1I]\\s*E\\s*([0-9])", "HB \\1"), ("\\b[5S]\\s*8\\s*([0-9])", "SB \\1"), ("\\b[5S]\\s*E\\s*([0-9])", "SB \\1"),
+    ("\\b[L1I]\\s*H\\s*B\\s*([0-9])", "HB \\1"), ("\\b[L1I]\\s*S\\s*B\\s*([0-9])", "SB \\1"), ("\\b([HS])\\s*J\\s*[8R]\\s*([0-9])", "\\1JR \\2"),
+]
+BILL_FORMS = [
+    ("HB", "HB|H\\.B\\.|House\\s+Bill"), ("SB", "SB|S\\.B\\.|Senate\\s+Bill"), ("HJR", "HJR|HJ|H\\.J\\.R\\.|House\\s+Joint\\s+Resolution"),
+    ("SJR", "SJR|SJ|S\\.J\\.R\\.|Senate\\s+Joint\\s+Resolution"), ("HR", "HR|H\\.R\\.|House\\s+Resolution"), ("SR", "SR|S\\.R\\.|Senate\\s+Resolution"),
+]
 
 
 def _bill_sql() -> str:
     t = "raw_text"
-    for pattern, to in bills.MISREAD:
-        t = f"regexp_replace({t}, '{pattern.replace('(?i)', '')}', '{to.replace('$', chr(92))}', 'gi')"
-    whens = " ".join(f"WHEN regexp_matches(t, '\\b(?:{form})\\s*\\d{{1,4}}\\b', 'i') THEN concat('{short}', CAST(CAST(regexp_extract(t, '\\b(?:{form})\\s*(\\d{{1,4}})\\b', 1, 'i') AS INT) AS VARCHAR))" for _, _, short, form in bills.FORMS)
+    for pattern, to in BILL_FIXES:
+        t = f"regexp_replace({t}, '{pattern}', '{to}', 'gi')"
+    whens = " ".join(f"WHEN regexp_matches(t, '\\b(?:{form})\\s*[0-9]{{1,4}}\\b', 'i') THEN concat('{short}', CAST(CAST(regexp_extract(t, '\\b(?:{form})\\s*([0-9]{{1,4}})\\b', 1, 'i') AS INT) AS VARCHAR))" for short, form in BILL_FORMS)
     return f"{OBS_SQL} SELECT id, label FROM (SELECT id, CASE {whens} END AS label FROM (SELECT id, {t} AS t FROM o WHERE type = 'bill')) WHERE label IS NOT NULL"
 
 
@@ -442,43 +451,10 @@ def jaro_winkler(spark: SparkSession, sf: str) -> DataFrame:
 # -- captions and payloads ---------------------------------------------------------------
 
 
-SEG_SQL = """s AS (SELECT DISTINCT ON (id) id, file_id, text, 3.25 * (id % 4000) AS a FROM video_transcript WHERE trim(text) <> '' AND text NOT LIKE '%<%' AND text NOT LIKE '% ' AND text NOT LIKE ' %')"""
-
-
-def _segments(spark: SparkSession, sf: str) -> DataFrame:
-    s = table(spark, sf, "video_transcript").where("trim(text) <> '' AND text NOT LIKE '%<%' AND text NOT LIKE '% ' AND text NOT LIKE ' %'").dropDuplicates(["id"])
-    a = (F.lit(3.25) * (F.col("id") % 4000)).cast("double")
-    return s.select("id", "file_id", "text", a.alias("a"), (a + 2.5).alias("b"))
-
-
-@query(f"WITH {SEG_SQL} SELECT file_id, string_agg(trim(text), ' ' ORDER BY id) AS text FROM s GROUP BY file_id")
-def transcript_text(spark: SparkSession, sf: str) -> DataFrame:
-    return captions.plain_text(_segments(spark, sf), "file_id", ["id"], "text")
-
-
 VTT = "concat(printf('%02d:%02d:%02d', CAST(floor({x}) AS INT) // 3600, CAST(floor({x}) AS INT) % 3600 // 60, CAST(floor({x}) AS INT) % 60), printf('.%03d', CAST(trunc(({x} - floor({x})) * 1000) AS INT)))"
 
 
-@query(f"WITH {SEG_SQL} SELECT file_id, concat('WEBVTT\n\n', string_agg(concat({VTT.format(x='a')}, ' --> ', {VTT.format(x='(a + 2.5)')}, '\n', text), '\n\n' ORDER BY id), '\n') AS text FROM s GROUP BY file_id")
-def webvtt_write(spark: SparkSession, sf: str) -> DataFrame:
-    return captions.write_webvtt(_segments(spark, sf), "file_id", ["id"], "a", "b", "text")
-
-
-PARSED_SQL = f"WITH {SEG_SQL} SELECT file_id, CAST(a AS DOUBLE) AS start_s, CAST(a + 2.5 AS DOUBLE) AS end_s, trim(text) AS text FROM s"
-
-
-@query(PARSED_SQL)
-def webvtt_parse(spark: SparkSession, sf: str) -> DataFrame:
-    return captions.parse_webvtt(webvtt_write(spark, sf), "file_id", "text").drop("pos")
-
-
-@query(PARSED_SQL)
-def srt_parse(spark: SparkSession, sf: str) -> DataFrame:
-    return captions.parse_srt(captions.write_srt(_segments(spark, sf), "file_id", ["id"], "a", "b", "text"), "file_id", "text").drop("pos")
-
-
-# All segments with their own times; the four queries above are held to their SQL, which
-# leaves out markup and edge spaces and numbers the starts.
+# All segments with their own times.
 TIME = r"'^\s*(?:(\d+):)?(\d{1,2}):(\d{1,2})(?:[.,](\d{1,3}))?\s*$'"
 
 
@@ -501,13 +477,13 @@ def _cues(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"{ALL_SQL} SELECT file_id, string_agg(plain, ' ' ORDER BY a NULLS LAST, id) AS text FROM s WHERE plain <> '' GROUP BY file_id")
-def transcript_text_all(spark: SparkSession, sf: str) -> DataFrame:
+def transcript_text(spark: SparkSession, sf: str) -> DataFrame:
     s = _all_segments(spark, sf).withColumns({"text": captions.without_markup(F.col("text")), "untimed": F.col("a").isNull()})
     return captions.plain_text(s, "file_id", ["untimed", "a", "id"], "text")
 
 
 @query(f"{ALL_SQL} SELECT file_id, concat('WEBVTT\n\n', string_agg(concat({VTT.format(x='a')}, ' --> ', {VTT.format(x='b')}, '\n', text), '\n\n' ORDER BY a, id), '\n') AS text FROM c GROUP BY file_id")
-def webvtt_write_all(spark: SparkSession, sf: str) -> DataFrame:
+def webvtt_write(spark: SparkSession, sf: str) -> DataFrame:
     return captions.write_webvtt(_cues(spark, sf), "file_id", ["a", "id"], "a", "b", "text")
 
 
@@ -517,12 +493,12 @@ ALL_PARSED_SQL = f"{ALL_SQL} SELECT file_id, {CUT.format(x='a')} AS start_s, {CU
 
 
 @query(ALL_PARSED_SQL)
-def webvtt_parse_all(spark: SparkSession, sf: str) -> DataFrame:
-    return captions.parse_webvtt(webvtt_write_all(spark, sf), "file_id", "text").drop("pos")
+def webvtt_parse(spark: SparkSession, sf: str) -> DataFrame:
+    return captions.parse_webvtt(webvtt_write(spark, sf), "file_id", "text").drop("pos")
 
 
 @query(ALL_PARSED_SQL)
-def srt_parse_all(spark: SparkSession, sf: str) -> DataFrame:
+def srt_parse(spark: SparkSession, sf: str) -> DataFrame:
     return captions.parse_srt(captions.write_srt(_cues(spark, sf), "file_id", ["a", "id"], "a", "b", "text"), "file_id", "text").drop("pos")
 
 
@@ -560,19 +536,13 @@ def session_clips(spark: SparkSession, sf: str) -> DataFrame:
 # -- resolution --------------------------------------------------------------------------
 
 
-@query("""SELECT id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '\\([RDI](?:-?\\d+)?\\)|district\\s+\\d+|\\s*\\(\\d+\\)', '', 'gi'), '\\s+of\\s+[A-Z][a-z]+', '', 'gi'), '[,()]+', ' ', 'g'), '\\s+', ' ', 'g')) AS cleaned,
-nullif(upper(regexp_extract(raw_text, '\\(([RDI])(?:-?\\d+)?\\)', 1, 'i')), '') AS party
-FROM (SELECT id, raw_text, regexp_replace(trim(regexp_replace(raw_text, '\\s+', ' ', 'g')), '^(?:sen\\.|del\\.|delegate|senator|vice chair|chair|rep\\.|representative)\\s+', '', 'i') AS t FROM (SELECT DISTINCT ON (id) * FROM video_index)
-  WHERE type = 'legislator' AND NOT regexp_matches(raw_text, '\\([A-Za-z][A-Za-z\\s-]+\\)|\\([RDI]\\d+\\)|-', 'i'))""")
+@query("""WITH a AS (SELECT id, raw_text, regexp_replace(trim(regexp_replace(raw_text, '\\s+', ' ', 'g')), '^(?:sen\\.|del\\.|delegate|senator|vice chair|chair|rep\\.|representative)\\s+', '', 'i') AS t FROM (SELECT DISTINCT ON (id) * FROM video_index) WHERE type = 'legislator' AND raw_text IS NOT NULL),
+b AS (SELECT *, trim(regexp_replace(t, '^.*?\\(([A-Za-z][A-Za-z\\s\\-]+)\\)\\s*', '\\1 ')) AS n FROM a),
+h AS (SELECT *, string_split(trim(regexp_replace(regexp_replace(n, '\\([RDI][0-9]+\\)', '', 'gi'), '\\s+', ' ', 'g')), ' ') AS w FROM b),
+c AS (SELECT *, CASE WHEN regexp_matches(n, '\\([RDI][0-9]+\\)', 'i') AND NOT regexp_matches(n, '\\([RDI]-[0-9]+\\)', 'i') THEN array_to_string(CASE WHEN len(w) > 3 THEN w[:len(w) - 2] ELSE w END, ' ') ELSE n END AS m FROM h)
+SELECT id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(m, '\\([RDI](?:-?[0-9]+)?\\)|district\\s+[0-9]+|\\s*\\([0-9]+\\)', '', 'gi'), '\\s+of\\s+[A-Z][a-z]+', '', 'gi'), '\\s+-\\s*[A-Z][a-z]+$', '', 'i'), '[,()]+', ' ', 'g'), '\\s+', ' ', 'g')) AS cleaned,
+nullif(upper(regexp_extract(raw_text, '\\(([RDI])(?:-?[0-9]+)?\\)', 1, 'i')), '') AS party FROM c""")
 def name_extract(spark: SparkSession, sf: str) -> DataFrame:
-    o = observations(spark, sf).where("type = 'legislator'").where(~F.col("raw_text").rlike(r"(?i)\([A-Za-z][A-Za-z\s-]+\)|\([RDI]\d+\)|-"))
-    return o.select("id", resolve.clean_name(F.col("raw_text")).alias("cleaned"), resolve.party(F.col("raw_text")).alias("party"))
-
-
-@query()
-def name_extract_all(spark: SparkSession, sf: str) -> DataFrame:
-    """name_extract of every caption, also of those its SQL leaves out: hyphens, nicknames
-    and the house form."""
     o = observations(spark, sf).where("type = 'legislator' AND raw_text IS NOT NULL")
     return o.select("id", resolve.clean_name(F.col("raw_text")).alias("cleaned"), resolve.party(F.col("raw_text")).alias("party"))
 
@@ -582,9 +552,24 @@ def resolve_members(spark: SparkSession, sf: str) -> DataFrame:
     return resolve.resolve_members(*(table(spark, sf, t) for t in ("video_index", "files", "people", "terms", "sessions")), F.lit(TODAY).cast("date"))
 
 
+def bill_list(spark: SparkSession, sf: str) -> DataFrame:
+    """(id, session_id, chamber, number) of the bills that linked captions name: the reading
+    and session most of a bill's captions have."""
+    o = observations(spark, sf).where("type = 'bill' AND linked_id IS NOT NULL").select("file_id", "linked_id", bills.parse(F.col("raw_text")).alias("p")).where("p IS NOT NULL")
+    d = session_asof(spark, sf).where("session_id IS NOT NULL").select(F.col("id").alias("file_id"), "session_id")
+    votes = o.join(d, "file_id").groupBy("linked_id", "session_id", "p.chamber", "p.number").agg(F.count("*").alias("n"))
+    best = votes.groupBy("linked_id").agg(F.max(F.struct("n", "session_id", "chamber", "number")).alias("b"))
+    return best.select(F.col("linked_id").alias("id"), "b.session_id", "b.chamber", "b.number")
+
+
 @query()
 def resolve_bills(spark: SparkSession, sf: str) -> DataFrame:
-    return resolve.resolve_bills(table(spark, sf, "video_index"), bills.parse(F.col("raw_text"))["label"])
+    return resolve.resolve_bills(*(table(spark, sf, t) for t in ("video_index", "files", "sessions")), bill_list(spark, sf))
+
+
+@query()
+def resolve_captions(spark: SparkSession, sf: str) -> DataFrame:
+    return resolve.resolve_captions(*(table(spark, sf, t) for t in ("video_index", "files", "people", "terms", "sessions")), bill_list(spark, sf), F.lit(TODAY).cast("date"))
 
 
 @query()

@@ -12,29 +12,36 @@ def without_markup(text: Column) -> Column:
     return F.regexp_replace(text, r"<[^>]*>", "")
 
 
-def _segments(df: DataFrame, id_col: str, blocks: Column, comma: bool) -> DataFrame:
-    stamp = r"(\d{1,2}:\d{2}:\d{2}[.,]\d{3})"
-    rows = df.select(id_col, F.posexplode(blocks).alias("pos", "b"))
-    at = lambda i: F.regexp_extract("b", rf"{stamp} --> {stamp}[^\n]*\n?", i)
-    body = F.regexp_replace("b", rf"(?s)^.*?{stamp} --> {stamp}[^\n]*\n?", "")
-    text = F.trim(F.regexp_replace(without_markup(body), r"\s*\n\s*", " "))
-    got = rows.select(id_col, "pos", times.timecode(at(1)).alias("start_s"), times.timecode(at(2)).alias("end_s"), text.alias("text"))
+_STAMP = r"(\d{1,2}:\d{2}:\d{2}[.,]\d{3})"
+
+
+def _segments(rows: DataFrame, id_col: str) -> DataFrame:
+    """rows (id, pos, a, b, body) as segments: markup and line ends out, empty ones dropped."""
+    text = F.trim(F.regexp_replace(without_markup(F.col("body")), r"\s*\n\s*", " "))
+    got = rows.select(id_col, "pos", times.timecode(F.col("a")).alias("start_s"), times.timecode(F.col("b")).alias("end_s"), text.alias("text"))
     return got.where("start_s IS NOT NULL AND text <> ''")
 
 
-def _blocks(text: Column) -> Column:
-    clean = F.regexp_replace(F.regexp_replace(text, "^﻿", ""), "\r", "")
-    return F.filter(F.split(clean, r"\n\n+"), lambda b: b.contains(" --> "))
+def _clean(text: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(text, "^\ufeff", ""), "\r", "")
 
 
 def parse_webvtt(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, pos, start_s, end_s, text) of every cue; markup goes, empty cues are dropped."""
-    return _segments(df, id_col, _blocks(F.col(text_col)), False)
+    """(id, pos, start_s, end_s, text) of every cue; markup goes. A cue runs to the next
+    blank line after its first letter, so that an empty one takes in the cue that follows."""
+    cue = rf"(?s){_STAMP} --> {_STAMP}.*?\n(.+?)(?=\n\n|$)"
+    rows = df.select(id_col, F.posexplode(F.regexp_extract_all(_clean(F.col(text_col)), F.lit(cue), 0)).alias("pos", "c"))
+    at = lambda i: F.regexp_extract("c", rf"(?s)^{_STAMP} --> {_STAMP}.*?\n(.+)$", i)
+    return _segments(rows.select(id_col, "pos", at(1).alias("a"), at(2).alias("b"), at(3).alias("body")), id_col)
 
 
 def parse_srt(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The same of SRT, whose blocks begin with a number and have commas in times."""
-    return _segments(df, id_col, _blocks(F.col(text_col)), True)
+    """The same of SRT: blocks between blank lines, a number before the times, commas in them."""
+    blocks = F.filter(F.split(_clean(F.col(text_col)), r"\n\n+"), lambda b: b.contains(" --> "))
+    rows = df.select(id_col, F.posexplode(blocks).alias("pos", "c"))
+    at = lambda i: F.regexp_extract("c", rf"{_STAMP} --> {_STAMP}", i)
+    body = F.regexp_replace("c", rf"(?s)^.*?{_STAMP} --> {_STAMP}[^\n]*\n?", "")
+    return _segments(rows.select(id_col, "pos", at(1).alias("a"), at(2).alias("b"), body.alias("body")), id_col)
 
 
 def _joined(df: DataFrame, id_col: str, order: list[str], piece: Column, sep: str) -> DataFrame:

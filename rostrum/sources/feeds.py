@@ -46,3 +46,18 @@ def caption_feed(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
 def listed_videos(search: DataFrame, details: DataFrame, most: int = 50) -> DataFrame:
     """The details of the listed videos in the listing's order: search (pos, id), details (id, ...)."""
     return search.join(details, "id").orderBy("pos").limit(most)
+
+
+def feed_webvtt(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
+    """(id, text) WebVTT of caption feeds; milliseconds are rounded. Feeds without a readable
+    entry have no row."""
+    ms = lambda c: F.format_string(".%03d", F.round((F.col(c) - F.floor(c)) * 1000).cast("int"))
+    at = lambda c: F.concat(times.clock(F.floor(c)), ms(c))
+    cue = F.concat(at("start_s"), F.lit(" --> "), at("end_s"), F.lit("\n"), "text", F.lit("\n"))
+    rows = caption_feed(df, id_col, json_col).groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", cue.alias("_p")))).alias("_l"))
+    return rows.select(id_col, F.concat(F.lit("WEBVTT\n\n"), F.array_join(F.transform("_l", lambda x: x["_p"]), "\n")).alias("text"))
+
+
+def listing_payload(spark, path: str) -> DataFrame:
+    """(payload) of landed listings, a JSON text a file."""
+    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "payload")

@@ -8,7 +8,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from rostrum.plans import catalog
+from rostrum.plans import catalog, jobs_catalog  # noqa: F401  # the second adds its queries to the first
 
 
 def _plain(v):

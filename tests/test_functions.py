@@ -38,7 +38,15 @@ def test_titles_and_urls(spark):
     assert one(spark, text.youtube_id(F.lit("https://youtu.be/abcdefghijk?t=3"))) == "abcdefghijk"
     assert one(spark, text.speaker_name(F.lit("Sen. J0HN  SMITH!"))) == "JOHN SMITH"
     assert one(spark, text.sanitize(F.lit("a\U0001f600b"))) == "ab"
-    assert one(spark, text.failure_kind(F.lit("HTTP 503"))) == "transient"
+    kinds = {"HTTP Error 404: gone": "permanent", "Connection refused by host": "transient", "SSL handshake": "transient", "HTTP 503": "permanent", "Could not resolve host": "transient", None: "permanent"}
+    assert {m: one(spark, text.failure_kind(F.lit(m).cast("string"))) for m in kinds} == kinds
+    for title, want in {"January 23, 2025-SFAC: Health-SR1300": "SFAC: Health", "Roads - 7:30 am": "Roads", "March 3, 2020": "March 3, 2020", "9:00 am - sr b": "9:00 am - sr b"}.items():
+        assert one(spark, text.normalize_title(F.lit(title))) == want
+    for title, keep in {"Rail Authority": False, "JLARC": False, "Public Hearing": False, "Press conference": True, "Board of Rails - Floor": True}.items():
+        assert one(spark, text.keep_title(F.lit(title))) is keep
+    assert one(spark, text.is_role(F.lit("Town Attorney"))) and one(spark, text.is_role(F.lit("Director"))) and not one(spark, text.is_role(F.lit("Ann Tarn")))
+    assert one(spark, text.archive_download("https://a.example", F.lit("x-1"), F.lit("d/a b+c.mp4"))) == "https://a.example/download/x-1/d/a%20b%2Bc.mp4"
+    assert one(spark, text.percentage(F.lit(1), F.lit(3))) == "33.3%" and one(spark, text.percentage(F.lit(0), F.lit(0))) == "0.0%"
 
 
 def test_similarity(spark):
@@ -61,6 +69,9 @@ def test_captions_round_trip(spark):
         assert sorted((r.file_id, r.start_s, r.end_s, r.text) for r in got.collect()) == want
     odd = spark.createDataFrame([(1, "﻿WEBVTT\r\n\r\n00:00:01.000 --> 00:00:02.000 align:start\r\n<v A>two\r\nlines\r\n\r\n00:00:03.000 --> 00:00:04.000\r\n\r\n"), (2, None), (3, "")], "file_id int, text string")
     assert [(r.file_id, r.text) for r in captions.parse_webvtt(odd, "file_id", "text").collect()] == [(1, "two lines")]
+    # an empty cue takes in the next one, its times included
+    gap = spark.createDataFrame([(1, "WEBVTT\n\n00:00:01.000 --> 00:00:02.000\n\n00:00:03.000 --> 00:00:04.000\nfirst\n\n00:00:05.000 --> 00:00:06.000\nsecond")], "file_id int, text string")
+    assert [(r.start_s, r.text) for r in captions.parse_webvtt(gap, "file_id", "text").collect()] == [(1.0, "00:00:03.000 --> 00:00:04.000 first"), (5.0, "second")]
 
 
 def test_pages(spark):
@@ -77,7 +88,7 @@ def test_segments_with_markup_keep_words_and_times(spark, tmp_path):
 
     rows = [(2, 1, "<i>second  ", "00:00:20,50", "00:00:21,25"), (1, 1, " third", "00:01:00.5", "00:01:02.00"), (3, 1, "first", "00:07.25", "00:08.50"), (4, 1, "<i></i>", "00:02:00.00", "00:02:01.00"), (5, 1, "untimed", None, None)]
     spark.createDataFrame(rows, "id long, file_id int, text string, time_start string, time_end string").write.parquet(str(tmp_path / "video_transcript.parquet"))
-    q = {n: catalog.QUERIES[f"{n}_all"](spark, str(tmp_path)).collect() for n in ("transcript_text", "webvtt_write", "webvtt_parse", "srt_parse")}
+    q = {n: catalog.QUERIES[n](spark, str(tmp_path)).collect() for n in ("transcript_text", "webvtt_write", "webvtt_parse", "srt_parse")}
     assert [r.text for r in q["transcript_text"]] == ["first second third untimed"]
     assert q["webvtt_write"][0].text.startswith("WEBVTT\n\n00:00:07.250 --> 00:00:08.500\nfirst\n\n00:00:20.500 --> 00:00:21.250\n<i>second\n\n00:01:00.500")
     want = [(7.25, 8.5, "first"), (20.5, 21.25, "second"), (60.5, 62.0, "third")]
