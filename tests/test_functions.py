@@ -79,7 +79,7 @@ def test_pages(spark):
     assert pages.balanced_json("nothing", "x") is None and pages.balanced_json(None, "x") is None
     html = "<table id='other'><tr><td>no</td></tr></table><table id='archive'><tr><td><a href='/c/7'>A  B</a></td><td>1h</td></tr></table>"
     df = spark.createDataFrame([(1, html), (2, None)], "id int, h string")
-    assert [tuple(r) for r in pages.scan_table(df, "id", "h").collect()] == [(1, 0, ["A B", "1h"], "/c/7")]
+    assert [tuple(r) for r in pages.scan_table(df, "id", "h").collect()] == [(1, 0, ["A B", "1h"], "/c/7", None, None)]
     assert one(spark, pages.meta_content(F.lit("<meta property='og:title' content='T'>"), "og:title")) == "T"
 
 
