@@ -4,10 +4,11 @@ The plan is made from counts, not documents: lengths are taken from the longest
 to the shortest and every length fills the tightest groups of equal containers
 first, whole groups at a time. A plan has a few slots per length, whatever the
 corpus, so its size is bounded by the capacity. Documents then take the planned
-slots by their rank within their length.
+slots by joining on their rank within their length.
 
-Ranks are made without a task that holds all documents of one length: rows are
-numbered within (length, salt) and shifted by the counts of the salts before.
+Ranks are made without a task that holds all documents of one length: a length with
+more than RANKED rows is cut into as many salts as it needs, rows are numbered within
+(length, salt) and shifted by the counts of the salts before.
 
 Defined results: a document longer than the capacity is cut into full containers
 and one remainder; NULL and empty texts have length 0, use no space and are
@@ -19,19 +20,16 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
-from pyspark.sql.types import LongType
 
 from rostrum.llm.tokenize import DEFAULT_VOCABULARY, count_column
 from rostrum.session import materialize, spread
 
 CAPACITY = 2048
-#: Rank groups of one length; the offsets table has at most capacity x SALTS rows.
-SALTS = 64
+#: Rows numbered in one group; the offsets table has at most capacity + rows / RANKED rows.
+RANKED = 500_000
 
 
 def plan(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int]], int]:
@@ -80,29 +78,19 @@ def plan(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[int, int,
     return slots, opened
 
 
-def _container(slots: list[tuple[int, int, int, int]], opened: int):
-    """Column function (length, rank) -> container by binary search in the plan."""
-    slots = sorted(slots)
-    keys = np.array([s[0] << 40 | s[1] for s in slots], dtype=np.int64)
-    start, first, each = (np.array([s[i] for s in slots], dtype=np.int64) for i in (1, 2, 3))
-    several = max(opened, 1)
+def _slot_table(sizes: DataFrame, slots: list[tuple[int, int, int, int]], histogram: dict[int, int]) -> DataFrame:
+    """(length, start, stop, first, each): the plan as a table, some slots a length."""
+    rows, stop = [], {}
+    for length, start, first, each in sorted(slots, reverse=True):
+        rows.append((length, start, stop.get(length, histogram[length]), first, each))
+        stop[length] = start
+    return sizes.sparkSession.createDataFrame(rows, "_length int, _start long, _stop long, _first long, _each long")
 
-    @F.arrow_udf(LongType())
-    def container(length: pa.Array, rank: pa.Array) -> pa.Array:
-        n, r = length.to_numpy(zero_copy_only=False).astype(np.int64), rank.to_numpy(zero_copy_only=False).astype(np.int64)
-        out = r % several
-        if len(keys):
-            at = np.clip(np.searchsorted(keys, n << 40 | r, side="right") - 1, 0, None)
-            out = np.where(n > 0, first[at] + (r - start[at]) // each[at], out)
-        return pa.array(out, pa.int64())
 
-    return container
-
-
-def pack(sizes: DataFrame, id_col: str, size_col: str, capacity: int = CAPACITY, salts: int = SALTS) -> DataFrame:
+def pack(sizes: DataFrame, id_col: str, size_col: str, capacity: int = CAPACITY, ranked: int = RANKED) -> DataFrame:
     """(id, part, first_unit, n_units, container_id): every item of sizes placed once.
 
-    sizes should be a written or otherwise cheap table: it is read twice.
+    sizes should be a written or otherwise cheap table: it is read three times.
     """
     n = F.greatest(F.coalesce(F.col(size_col), F.lit(0)).cast("long"), F.lit(0))
     items = (
@@ -110,21 +98,23 @@ def pack(sizes: DataFrame, id_col: str, size_col: str, capacity: int = CAPACITY,
         .withColumn("part", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("_n") / capacity), F.lit(1)).cast("int") - 1)))
         .withColumn("first_unit", F.col("part") * F.lit(capacity).cast("long"))
         .withColumn("n_units", F.least(F.col("_n") - F.col("first_unit"), F.lit(capacity)).cast("int"))
-        .withColumn("_salt", F.pmod(F.xxhash64(F.col(id_col).cast("string"), "part"), F.lit(salts)).cast("int"))
     )
+    histogram = {r["n_units"]: r["n"] for r in items.groupBy("n_units").agg(F.count("*").alias("n")).collect()}  # at most capacity + 1 rows
+    hot = [(k, -(-n // ranked)) for k, n in histogram.items() if n > ranked]
+    salts = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for kv in hot for x in kv)), F.col("n_units")), F.lit(1)) if hot else F.lit(1)
+    items = items.withColumn("_salt", F.pmod(F.xxhash64(F.col(id_col).cast("string"), "part"), salts).cast("int"))
     counts = items.groupBy("n_units", "_salt").agg(F.count("*").alias("_c"))
-    offsets = counts.withColumn(
-        "_before", F.coalesce(F.sum("_c").over(W.partitionBy("n_units").orderBy("_salt").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    ).select(F.col("n_units").alias("_l"), F.col("_salt").alias("_s"), "_before", "_c")
-    offsets = materialize(offsets, "packing-offsets")
-    histogram = {r["_l"]: r["n"] for r in offsets.groupBy("_l").agg(F.sum("_c").alias("n")).collect()}  # at most capacity + 1 rows
-    container = _container(*plan(histogram, capacity))
+    before = F.coalesce(F.sum("_c").over(W.partitionBy("n_units").orderBy("_salt").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select(F.col("n_units").alias("_l"), F.col("_salt").alias("_s"), before.alias("_before"))
+    slots, opened = plan(histogram, capacity)
     local = F.row_number().over(W.partitionBy("n_units", "_salt").orderBy(F.col(id_col), "part")) - 1
-    return (
-        items.withColumn("_r", local)
-        .join(F.broadcast(offsets.drop("_c")), (F.col("n_units") == F.col("_l")) & (F.col("_salt") == F.col("_s")))  # at most (capacity + 1) x salts rows
-        .select(id_col, "part", "first_unit", "n_units", container(F.col("n_units"), F.col("_r") + F.col("_before")).alias("container_id"))
-    )
+    rank = items.withColumn("_r", local)
+    if hot:
+        rank = rank.join(F.broadcast(offsets), (F.col("n_units") == F.col("_l")) & (F.col("_salt") == F.col("_s")))  # at most capacity + rows / ranked rows
+        rank = rank.withColumn("_r", F.col("_r") + F.col("_before"))
+    placed = rank.join(F.broadcast(_slot_table(sizes, slots, histogram)), (F.col("n_units") == F.col("_length")) & (F.col("_r") >= F.col("_start")) & (F.col("_r") < F.col("_stop")), "left")  # the plan, bounded by the capacity
+    container = F.when(F.col("n_units") > 0, F.col("_first") + F.floor((F.col("_r") - F.col("_start")) / F.col("_each"))).otherwise(F.pmod("_r", F.lit(max(opened, 1))))
+    return placed.select(id_col, "part", "first_unit", "n_units", container.cast("long").alias("container_id"))
 
 
 def pack_corpus(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, path: str = DEFAULT_VOCABULARY) -> DataFrame:

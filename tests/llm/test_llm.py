@@ -78,7 +78,7 @@ def test_plan_equals_best_fit_decreasing():
 def test_packing_is_complete(spark):
     rng = random.Random(4)
     sizes = [(i, rng.choice([None, 0, 1, 7, 7, 7, 30, 61, 100])) for i in range(400)] + [(1, 7), (1, 7)]
-    got = packing.pack(spark.createDataFrame(sizes, "doc_id long, n int"), "doc_id", "n", 30, salts=4)
+    got = packing.pack(spark.createDataFrame(sizes, "doc_id long, n int"), "doc_id", "n", 30, ranked=20)
     rows = [r.asDict() for r in got.collect()]
     assert sum(r["n_units"] for r in rows) == sum(n or 0 for _, n in sizes)
     used = defaultdict(int)
@@ -176,6 +176,25 @@ def test_same_caption(a, b, kind, same):
     assert runs.same_caption(a, b, kind) is same
 
 
+def test_difference_of_row_numbers_parts_the_runs(spark):
+    """One file over several chunks; captions come back, so their value alone says too little."""
+    rng = random.Random(8)
+    rows, texts = [], ["Ann Tarn", "Imke Oster", "Nils Harrow"]
+    for i in range(900):
+        last = rows[-1][4] if rows else None
+        rows.append((i + 1, 7, "", f"{i + 2:08d}", last if last and rng.random() < 0.7 else rng.choice(texts), "legislator", "n"))
+    df = spark.createDataFrame(rows + rows[100:140], "id long, file_id int, time string, screenshot string, raw_text string, type string, ignored string")
+    got = runs.caption_runs(df).collect()
+    want = []
+    for r in rows:
+        if want and want[-1][0] == r[4]:
+            want[-1] = (r[4], want[-1][1], r[0], want[-1][3] + 1)
+        else:
+            want.append((r[4], r[0], r[0], 1))
+    assert sorted((r.caption, r.first_id, r.last_id, r.n) for r in got) == sorted(want)
+    assert len(got) > len({r.caption for r in got}) == 3  # grouping by the value alone would leave three
+
+
 def brute_runs(rows):
     groups, out = defaultdict(dict), set()
     for r in rows:
@@ -224,6 +243,9 @@ def test_turns(spark):
     assert got[0] == (2, 0, "Good morning members. Is there a motion")
     assert got[1] == (4, 6, "I move.") and got[2] == (4, 0, "Second.")
     assert got[3][:2] == (7, 6) and got[3][2].startswith("we agree now again")
+    # unreadable starts are no repeats of each other
+    odd = spark.createDataFrame([(1, 5, "Thank you.", s, "y", None) if i == 0 else (i + 1, 5, t, s, "y", None) for i, (t, s) in enumerate([("Thank you.", "x"), ("No, wait.", "x"), ("Thank you.", "x"), ("Thank you.", None)])], df.schema)
+    assert [(r.first_id, r.text) for r in turns.speaker_turns(odd, people).orderBy("turn").collect()] == [(1, "Thank you."), (2, "No, wait."), (3, "Thank you."), (4, "Thank you.")]
     assert turns.found(df.where("false"), people).count() == 0
 
 
@@ -260,6 +282,31 @@ def test_recordings_batches(spark):
     assert recordings.find_repeats(df.where("false"), committees).count() == 0
 
 
+def test_store_is_opened_again(spark, tmp_path):
+    """Each batch by a store of its own on the same path; a bridge joins what was apart."""
+    committees = spark.createDataFrame(COMMITTEES, "id int, parent_id int, name string, shortname string, chamber string")
+    d = dt.date(2020, 1, 2)
+    title = "Waterways and Harbors, Briefing on {}"
+    topics = ["winter deeds", "winter deedxy", "winter deedx", "summer fees", "winter deeds", None]
+    rows = [(i + 1, "house", title.format(t) if t else None, d, dt.datetime(2020, 1, 3 + i)) for i, t in enumerate(topics)]
+    df = spark.createDataFrame(rows, "id int, chamber string, title string, date date, date_created timestamp_ntz")
+    read = recordings.read_titles(df, committees).cache()
+    apart, all_at_once = not recordings.same_topic(topics[0], topics[1]), recordings.RecordingStore(spark)
+    for i in range(6):
+        out = recordings.RecordingStore(spark, str(tmp_path / "store"), fan=2).admit(read.where(F.col("id") == i + 1))
+        if i == 1:
+            assert [r.recording_id for r in out.collect()] == [2 if apart else 1]
+    again = recordings.RecordingStore(spark, str(tmp_path / "store"), fan=2)
+    got = {r.id: r.recording_id for r in again.members().collect()}
+    all_at_once.admit(read)
+    assert got == {r.id: r.recording_id for r in all_at_once.members().collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 1}
+    version, live = again.runs()
+    assert version == 5 and len(live) < 5  # runs were compacted
+    # only the parts that a filter lets through are opened: a record of another day hits none
+    other = read.where("id = 1").withColumns({"day": F.lit(dt.date(2021, 5, 5)), "id": F.lit(50)})
+    assert [r.recording_id for r in again.admit(other).collect()] == [50]
+
+
 # -- 9: subjects -------------------------------------------------------------------------
 
 
