@@ -8,8 +8,10 @@ keys and compared with the merged profiles of their block, the fullest records f
 a record that fits exactly one profile is merged into it, which unions spellings and
 initials; the richer profiles re-enter blocking, until a round merges nothing.
 
-Mentions (captions, labels) are matched against the resolved profiles, which are a
-reference table of bounded size (MAX_PROFILES, checked).
+Captions are records too: each distinct one is blocked with the profiles, merged into the
+one it fits, and what it tells enriches the profile for the captions still open and for
+another merging of people. Labels of transcripts are matched against the resolved
+profiles, a reference table of bounded size (MAX_PROFILES, checked).
 
 Defined results: NULL and blank names resolve to nobody; a spelling that fits several
 persons equally well is linked to none of them; other initials or another suffix are
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rostrum.llm.bodies import distance, fold
-from rostrum.session import cut, spread
+from rostrum.session import cut, materialize
 
 MAX_PROFILES = 200_000
 
@@ -311,9 +313,11 @@ def lexicon_of(people: DataFrame) -> set[str]:
         .count()
         .where("count > 1 OR length(f) > 4")
         .orderBy(F.desc("count"), "f")
-        .limit(20_000)
+        .limit(MAX_PROFILES + 1)
         .collect()
     )
+    if len(rows) > MAX_PROFILES:
+        raise ValueError(f"more than {MAX_PROFILES} first names")
     return first_lexicon([(r["f"], r["count"]) for r in rows])
 
 
@@ -330,7 +334,7 @@ def first_lexicon(counts: list[tuple[str, int]]) -> set[str]:
     return out
 
 
-def resolve_people(people: DataFrame, rounds: int = 8) -> DataFrame:
+def resolve_people(people: DataFrame) -> DataFrame:
     """Profiles of distinct persons (pid = lowest id, ids = all ids, and their spellings)."""
     lexicon = lexicon_of(people)
     one = people.select(F.col("id").cast("long").alias("id"), "name", "name_formal").where("id IS NOT NULL").dropDuplicates(["id"])
@@ -339,19 +343,19 @@ def resolve_people(people: DataFrame, rounds: int = 8) -> DataFrame:
         for pdf in batches:
             yield pd.DataFrame([_to_row(read_profile(int(i), n, f, lexicon)) for i, n, f in zip(pdf["id"], pdf["name"], pdf["name_formal"])], columns=[c.split()[0] for c in _PROFILE.split(", ")])
 
-    profiles = cut(one.mapInPandas(read, _PROFILE))
+    return merge_profiles(cut(one.mapInPandas(read, _PROFILE)))
+
+
+def merge_profiles(profiles: DataFrame) -> DataFrame:
+    """profiles merged with those of the same person, round by round until none merges."""
 
     def links(pdf: pd.DataFrame) -> pd.DataFrame:
         out = [(i, min(m.ids)) for m in swoosh([_of_row(r) for r in pdf.to_dict("records")]) for i in {int(x) for x in pdf["pid"]} & m.ids if i != min(m.ids)]
         return pd.DataFrame(out, columns=["pid", "to"])
 
-    @F.udf(T.ArrayType(T.StringType()))
-    def keys(surnames):
-        return sorted(set().union(*(block_keys(s) for s in surnames or [])))
-
-    for _ in range(rounds):
+    while True:
         # blocks hold the misspellings of one surname; a profile re-enters under all its surnames
-        keyed = profiles.withColumn("_key", F.explode(keys("surnames")))
+        keyed = profiles.withColumn("_key", F.explode(F.array_distinct(F.flatten(F.transform("surnames", deletion_keys)))))
         shared = keyed.groupBy("_key").count().where("count > 1").select("_key")
         found = keyed.join(shared, "_key").groupBy("_key").applyInPandas(links, "pid long, to long").distinct()
         votes = cut(found.groupBy("pid").agg(F.min("to").alias("to"), F.countDistinct("to").alias("n")).where("n = 1").select("pid", "to"))
@@ -390,7 +394,7 @@ class PersonIndex:
             for s in p.surnames:
                 self.by_surname.setdefault(s, set()).add(pid)
         for s in self.by_surname:
-            for k in block_keys(s):
+            for k in block_keys(s) | (set().union(*(block_keys(k) for k in block_keys(s))) if surname_edits(len(s)) == 2 else set()):
                 self.by_key.setdefault(k, set()).add(s)
         self._near: dict[str, dict[str, int]] = {}
         self._memo: dict[str, tuple] = {}
@@ -436,13 +440,7 @@ class PersonIndex:
     def _of(self, s: Spelling) -> tuple[tuple[int, ...], Spelling]:
         if s.outside or not s.words:
             return (), s
-        tries = [s.words]
-        if len(s.words[0]) > 6:  # a title run into the name
-            w = s.words[0]
-            for t in ("delegate", "senator", "del", "sen", "chair"):
-                for n in (len(t), len(t) - 1, len(t) + 1):
-                    if n >= 3 and len(w) - n >= 4 and distance(w[:n], t, 1 + (len(t) > 6)) <= (0 if len(t) < 5 else 1 + (len(t) > 6)):
-                        tries.append([w[n:], *s.words[1:]])
+        tries = [s.words, *run_in(s.words)]
         best: dict[int, float] = {}
         for k, words in enumerate(tries):
             for pid, score in self._score(words, s).items():
@@ -521,27 +519,158 @@ def index_of(rows: tuple) -> PersonIndex:
     return _index(hash(rows), rows)
 
 
-def named_person(text, rows: tuple):
-    """INT column: the pid of the one person that a caption names, else NULL."""
+# -- captions as records -------------------------------------------------------------------
+
+
+def spellings_of(text: str) -> list[Spelling]:
+    """The ways to read a text: as it stands, then, with a mark inside a word, without it."""
+    return [Spelling(text)] + ([Spelling(re.sub(r"(?<=\w),(?=\w)", "", text))] if re.search(r"\w,\w", text) else [])
+
+
+def surname_words(s: Spelling) -> list[tuple[str, list[str], int]]:
+    """(word, other words, 1 if a title ran into the first word) of the words of a spelling
+    that can be the surname: the first or last, or two halves of it."""
+    if s.outside or not s.words:
+        return []
+    tries = [(s.words, 0)] + [(words, 1) for words in run_in(s.words)]
+    out = []
+    for words, k in tries:
+        n = len(words)
+        for i in range(n):
+            for j in (i + 1, i + 2):
+                if j > n or (s.comma and i > 0) or (j == i + 2 and min(len(w) for w in words[i:j]) < 3):
+                    continue
+                rest = words[:i] + words[j:]
+                if not (rest and not s.comma and 0 < i and j < n):
+                    out.append(("".join(words[i:j]), rest, k))
+    return out
+
+
+def run_in(words: list[str]) -> list[list[str]]:
+    """The words without a title that is run into the first of them."""
+    w, out = words[0], []
+    for t in ("delegate", "senator", "del", "sen", "chair") if len(w) > 6 else ():
+        for n in (len(t), len(t) - 1, len(t) + 1):
+            if n >= 3 and len(w) - n >= 4 and distance(w[:n], t, 1 + (len(t) > 6)) <= (0 if len(t) < 5 else 1 + (len(t) > 6)):
+                out.append([w[n:], *words[1:]])
+    return out
 
-    @F.arrow_udf(T.LongType())
-    def name(texts: pa.Array) -> pa.Array:
-        own = index_of(rows)
-        got = (own.match(t)[0] for t in texts.to_pylist())
-        return pa.array([g[0] if len(g) == 1 else None for g in got], pa.int64())
 
-    return name(text)
+def fit_of(s: Spelling, p: Profile, near: dict[str, int], first_words: set[str]) -> tuple[float, list[str], list[str]]:
+    """How well a spelling fits a profile (0: not), and the initials and short names it adds.
+    near: edits between the spelling's words and the profile's surnames."""
+    best, rest_of = 0.0, []
+    for word, rest, k in surname_words(s):
+        d = near.get(word)
+        if d is None or (d and len(word) < 9 and word in first_words and rest):
+            continue
+        v = PersonIndex._fit(p, rest, s)
+        if v and v - 0.12 * d - 0.05 * k > best:
+            best, rest_of = v - 0.12 * d - 0.05 * k, rest
+    ones = [w for w in rest_of if len(w) == 1]
+    longs = [w for w in rest_of if len(w) > 1]
+    return best, ones if longs else ones[1:], [s.nick] if s.nick and best else []
+
+
+def _deletions(word):
+    """The word with one letter less, for each of its letters."""
+    return F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: F.concat(F.substr(word, F.lit(1), i - 1), F.substr(word, i + 1)))
+
+
+def deletion_keys(word):
+    """Keys of which words share one if they are within the edits that surnames forgive:
+    the word, and what is left without one letter, or two of seven or more."""
+    one = _deletions(word)
+    two = F.when(F.length(word) >= 7, F.flatten(F.transform(one, _deletions))).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(F.array(word), F.when(F.length(word) >= 4, F.concat(one, two)).otherwise(F.array().cast("array<string>"))))
+
+
+_TRY = T.ArrayType(T.StructType([T.StructField("reading", T.IntegerType()), T.StructField("word", T.StringType())]))
+_FIT = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("middles", T.ArrayType(T.StringType())), T.StructField("nicks", T.ArrayType(T.StringType()))])
+
+
+def link_texts(texts: DataFrame, profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(text, pid) of distinct texts that name one person, and the profiles enriched by them.
+
+    Texts are records: blocked with the profiles on deletion keys of the words that can be
+    surnames, verified in pairs of text and profile, and merged into the one profile they fit
+    best. Merging unions initials (told by two texts) and short names into the profile; the
+    enriched profiles meet the texts still open again, until a round links none.
+    """
+    first_words = {f for r in profiles.select(F.explode(F.array_union("firsts", "nicks")).alias("f")).where("length(f) > 2").distinct().limit(MAX_PROFILES).collect() for f in [r["f"]]} | set(SHORT)
+
+    @F.arrow_udf(_TRY)
+    def tries(column: pa.Array) -> pa.Array:
+        rows = ({(i, w) for i, s in enumerate(spellings_of(t)) for w, _, _ in surname_words(s) if len(w) >= 3} for t in column.to_pylist())
+        return pa.array([[{"reading": i, "word": w} for i, w in sorted(r)] for r in rows], pa.list_(pa.struct([("reading", pa.int32()), ("word", pa.string())])))
+
+    @F.arrow_udf(T.IntegerType())
+    def edits(a: pa.Array, b: pa.Array) -> pa.Array:
+        most = [(x, y, min(surname_edits(len(x)), surname_edits(len(y)))) for x, y in zip(a.to_pylist(), b.to_pylist())]
+        got = [(distance(x, y, m), m) for x, y, m in most]
+        return pa.array([d if d <= m else None for d, m in got], pa.int32())
+
+    said = cut(texts.select("text", F.explode(tries("text")).alias("t")).select("text", "t.reading", "t.word"))
+    surnames = profiles.select(F.explode("surnames").alias("surname")).distinct()
+    keyed = said.select("word").distinct().select("word", F.explode(deletion_keys(F.col("word"))).alias("k"))
+    near = keyed.join(surnames.select("surname", F.explode(deletion_keys(F.col("surname"))).alias("k")), "k").select("word", "surname").distinct()
+    near = near.withColumn("d", edits("word", "surname")).where("d IS NOT NULL")
+    owners = profiles.select("pid", F.explode("surnames").alias("surname"))
+    met = cut(said.join(near, "word").join(owners, "surname").groupBy("text", "reading", "pid", "word").agg(F.min("d").alias("d")).groupBy("text", "reading", "pid").agg(F.map_from_entries(F.collect_list(F.struct("word", "d"))).alias("near")))
+
+    @F.arrow_udf(_FIT)
+    def fit(column: pa.Array, reading: pa.Array, words: pa.Array, person: pa.Array) -> pa.Array:
+        memo: dict = {}
+        out = []
+        for t, i, n, p in zip(column.to_pylist(), reading.to_pylist(), words.to_pylist(), person.to_pylist()):
+            if t not in memo:
+                memo[t] = spellings_of(t)
+            if p["pid"] not in memo:
+                memo[p["pid"]] = _of_row(p)
+            v, m, k = fit_of(memo[t][i], memo[p["pid"]], dict(n), first_words)
+            out.append({"score": v, "middles": m, "nicks": k})
+        return pa.array(out, pa.struct([("score", pa.float64()), ("middles", pa.list_(pa.string())), ("nicks", pa.list_(pa.string()))]))
+
+    links, rich = None, profiles
+    while True:
+        scored = met.join(rich, "pid").withColumn("f", fit("text", "reading", "near", F.struct(*rich.columns))).select("text", "reading", "pid", "f.*").where("score > 0")
+        per = scored.groupBy("text", "reading").agg(F.max("score").alias("top"), F.collect_list(F.struct("pid", "score", "middles", "nicks")).alias("all"))
+        first = per.groupBy("text").agg(F.min_by(F.struct("top", "all"), "reading").alias("b"))
+        kept = F.filter("b.all", lambda x: x["score"] >= F.col("b.top") - 0.04)
+        new = cut(first.select("text", kept.alias("c")).where(F.size(F.array_distinct(F.transform("c", lambda x: x["pid"]))) == 1).select("text", F.col("c")[0].alias("c")).select("text", "c.*"))
+        if new.isEmpty():
+            break
+        links = new.select("text", "pid") if links is None else cut(links.unionByName(new.select("text", "pid")))
+        told = new.select("pid", F.explode("middles").alias("m")).groupBy("pid", "m").count().where("count > 1").groupBy("pid").agg(F.collect_set("m").alias("more"))
+        short = new.select("pid", F.explode("nicks").alias("n")).groupBy("pid").agg(F.collect_set("n").alias("short"))
+        got = rich.join(told, "pid", "left").join(short, "pid", "left")
+        add = lambda c, more: F.array_sort(F.array_union(c, F.coalesce(more, F.array().cast("array<string>")))).alias(c)
+        grown = cut(got.select(*(add("middles", "more") if c == "middles" else add("nicks", "short") if c == "nicks" else F.col(c) for c in rich.columns)))
+        changed = grown.join(rich.select("pid", F.col("middles").alias("_m"), F.col("nicks").alias("_n")), "pid").where("middles <> _m OR nicks <> _n").select("pid")
+        rich = grown
+        again = met.join(changed, "pid", "left_semi").select("text").distinct()
+        met = cut(met.join(new.select("text"), "text", "left_anti").join(again, "text", "left_semi"))
+    if links is None:
+        links = met.select("text", "pid").where("false")
+    return links, rich
 
 
 def found(people: DataFrame, video_index: DataFrame) -> DataFrame:
     """(kind, left_id, right_id): pairs of people rows of one person, and unresolved
-    captions with the lowest people id of the person they name."""
+    captions with the lowest people id of the person they name.
+
+    People are merged, captions linked and unioned into the profiles, which then enter
+    the merging of people once more; captions of merged persons follow.
+    """
     profiles = resolve_people(people)
-    rows = profile_rows(profiles)
     open_rows = (
         video_index.where("type = 'legislator' AND linked_id IS NULL AND coalesce(ignored, 'n') <> 'y' AND id IS NOT NULL AND trim(raw_text) <> ''")
-        .select("id", "raw_text")
-        .dropDuplicates(["id"])
+        .select(F.col("id").cast("long").alias("right_id"), F.col("raw_text").alias("text"))
+        .distinct()
     )
-    screen = spread(open_rows).select(F.lit("screen").alias("kind"), named_person(F.col("raw_text"), rows).alias("left_id"), F.col("id").cast("long").alias("right_id")).where("left_id IS NOT NULL")
-    return pairs(profiles).select(F.lit("people").alias("kind"), "left_id", "right_id").unionByName(screen)
+    open_rows = materialize(open_rows, "open-captions")
+    links, rich = link_texts(open_rows.select("text").distinct(), profiles)
+    profiles = merge_profiles(rich)
+    final = profiles.select(F.explode("ids").alias("pid"), F.col("pid").alias("left_id"))
+    screen = open_rows.join(links, "text").join(final, "pid").groupBy("right_id").agg(F.min("left_id").alias("left_id"))
+    return pairs(profiles).select(F.lit("people").alias("kind"), "left_id", "right_id").unionByName(screen.select(F.lit("screen").alias("kind"), "left_id", "right_id"))
