@@ -332,6 +332,15 @@ def test_subjects(spark):
     got = {(r.doc_id, r.subject) for r in subjects.found(d, areas, lab).collect()}
     want = {(i, names[i % 6]) for i in range(240)}
     assert len(got ^ want) <= 4 and all(i < 240 for i, _ in got)
+    # seeds are trusted where their document bears them out, and clamped there
+    wrong = lab.unionByName(spark.createDataFrame([(7, names[4])], "doc_id long, subject string"))
+    graph = subjects.SubjectGraph(d, areas, wrong)
+    graph.trust(graph.start())
+    trusted = {(r.doc_id, names[r.z]) for r in graph.seeds.collect()}
+    assert len(trusted) >= 55 and (7, names[4]) not in trusted and trusted <= set(labels)
+    scores = graph.start()
+    assert {(r.doc_id, names[r.z]) for r in graph.clamped(scores).where("q = 1").collect()} >= trusted
+    assert trusted <= {(r.doc_id, r.subject) for r in graph.assign(scores).collect()}
     assert subjects.found(d.where("false"), areas, lab).count() == 0
     assert subjects.found(d, areas, lab.where("false")).count() >= 0
     assert subjects.found(d, areas.where("false"), lab).count() == 0
