@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
+from rostrum.session import spread
+
 #: The list is shipped to every worker, so a larger one is refused.
 MAX_ENTRIES = 100_000
 
@@ -73,6 +75,16 @@ def allowed(n: int) -> int:
     return 0 if n < 4 else 1 if n < 8 else 2
 
 
+def deleted(word: str, most: int) -> set[str]:
+    """The word and what is left of it without up to ``most`` letters: words within so many
+    edits share one of these."""
+    out = last = {word}
+    for _ in range(most):
+        last = {w[:i] + w[i + 1 :] for w in last for i in range(len(w))}
+        out = out | last
+    return out
+
+
 def clean_tokens(text: str) -> list[str]:
     """Words of a folded text; marks inside words are misreadings and go."""
     out = []
@@ -113,7 +125,10 @@ class BodyResolver:
             names.setdefault(lead, set()).update(ids)
         self.names = names
         self.short = {t for n in names for t in n.split() if len(t) < 5}
-        self.vocabulary = sorted({t for n in names for t in n.split() if len(t) >= 4})
+        self.by_key: dict[str, set[str]] = {}
+        for v in {t for n in names for t in n.split() if len(t) >= 4}:
+            for k in deleted(v, allowed(len(v))):
+                self.by_key.setdefault(k, set()).add(v)
         self.automaton = ahocorasick.Automaton()
         for n in names:
             self.automaton.add_word(f" {n} ", n)
@@ -153,7 +168,7 @@ class BodyResolver:
         found = self._corrected.get(t)
         if found is None:
             best, ties = allowed(max(len(t), 5)) + 1, []
-            for v in self.vocabulary:
+            for v in sorted(set().union(*(self.by_key.get(k, set()) for k in deleted(t, 2)))):
                 d = distance(t, v, min(allowed(len(v)), best))
                 if d <= allowed(len(v)):
                     if d < best:
@@ -292,13 +307,6 @@ def map_titles(videos: DataFrame, committees: DataFrame) -> DataFrame:
     """
     rows = committee_rows(committees)
     chambers = sorted({fold(r[4]) for r in rows if r[4]})
-    latest = (
-        videos.select("id", F.col("snippet.title").alias("title"), F.col("snippet.channelid").alias("channel"), "fetched_at")
-        .where(F.length(F.trim(F.regexp_replace("title", r"\s+", " "))) > 0)
-        .groupBy("id")
-        .agg(F.max_by(F.struct("title", "channel"), F.struct("fetched_at", "title")).alias("v"))
-    )
-
     @F.arrow_udf(IntegerType())
     def pick(titles: pa.Array, channels: pa.Array) -> pa.Array:
         own, out = resolver(rows), []
@@ -310,4 +318,7 @@ def map_titles(videos: DataFrame, committees: DataFrame) -> DataFrame:
                 out.append(own.resolve(t, named[0]) if len(named) == 1 else 0)
         return pa.array(out, pa.int32())
 
-    return latest.select("id", pick("v.title", "v.channel").alias("committee_id"))
+    # every fetch is read where it lies, so that only ids and results are shuffled
+    fetched = videos.select("id", F.col("snippet.title").alias("title"), F.col("snippet.channelid").alias("channel"), "fetched_at").where(F.length(F.trim(F.regexp_replace("title", r"\s+", " "))) > 0)
+    read = spread(fetched).withColumn("committee_id", pick("title", "channel"))
+    return read.groupBy("id").agg(F.max_by("committee_id", F.struct("fetched_at", "title", "channel")).alias("committee_id"))
