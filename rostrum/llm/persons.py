@@ -355,9 +355,11 @@ def merge_profiles(profiles: DataFrame) -> DataFrame:
 
     while True:
         # blocks hold the misspellings of one surname; a profile re-enters under all its surnames
-        keyed = profiles.withColumn("_key", F.explode(F.array_distinct(F.flatten(F.transform("surnames", deletion_keys)))))
-        shared = keyed.groupBy("_key").count().where("count > 1").select("_key")
-        found = keyed.join(shared, "_key").groupBy("_key").applyInPandas(links, "pid long, to long").distinct()
+        keyed = profiles.select("pid", F.explode(F.array_distinct(F.flatten(F.transform("surnames", deletion_keys)))).alias("_key"))
+        # many keys give the same block: it is compared once
+        blocks = keyed.groupBy("_key").agg(F.sort_array(F.collect_set("pid")).alias("_pids")).where(F.size("_pids") > 1).select("_pids").distinct()
+        members = blocks.select(F.xxhash64("_pids").alias("_block"), F.explode("_pids").alias("pid"))
+        found = members.join(profiles, "pid").groupBy("_block").applyInPandas(links, "pid long, to long").distinct()
         votes = cut(found.groupBy("pid").agg(F.min("to").alias("to"), F.countDistinct("to").alias("n")).where("n = 1").select("pid", "to"))
         if votes.isEmpty():
             break
