@@ -152,6 +152,19 @@ def test_mentions(spark):
         assert index.match(text)[0] == want, text
 
 
+def test_captions_enrich_profiles_and_are_rematched(spark):
+    people = persons.resolve_people(spark.createDataFrame([(1, "Tarn, Nils", "Nils Tarn"), (2, "Tarn, Nathan", "Nathan Tarn")], "id int, name string, name_formal string"))
+
+    def linked(*texts):
+        links, rich = persons.link_texts(spark.createDataFrame([(t,) for t in texts], "text string"), people)
+        return {r.text: r.pid for r in links.collect()}, {r.pid: r.middles for r in rich.collect()}
+
+    # the initial that two captions tell decides a third, which fits both persons alone
+    assert linked("N. C. Tarn", "Dr. Tarn") == ({}, {1: [], 2: []})
+    assert linked("N. C. Tarn", "Del. Nils C. Tarn", "TARN, NILS C.") == ({"N. C. Tarn": 1, "Del. Nils C. Tarn": 1, "TARN, NILS C.": 1}, {1: ["c"], 2: []})
+    assert linked() == ({}, {1: [], 2: []})
+
+
 def test_screen_rows(spark, sf):
     got = queries.p2_found(spark, sf).collect()
     open_ids = {r["id"] for r in rows_of(spark, sf, "video_index") if r["type"] == "legislator" and r["linked_id"] is None and r["ignored"] != "y"}
