@@ -210,20 +210,30 @@ def _screen(pdf: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
     return pdf.loc[hit, ["run", "part", "fp"]]
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, label): the least node connected to each node of edges (a, b). Labels move
-    to neighbours and then on to the label's own label, so chains take few rounds."""
-    both = cut(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")).select("node", F.least("node", "near").alias("label")))
-    while True:
-        of = labels.select(F.col("node").alias("b"), F.col("label").alias("via"))
-        near = both.join(of, "b").groupBy(F.col("a").alias("node")).agg(F.min("via").alias("via"))
-        step = labels.join(near, "node").select("node", "label", F.least("label", "via").alias("next"))
-        jump = step.select(F.col("node").alias("next"), F.col("next").alias("far"))
-        moved = cut(step.join(jump, "next", "left").select("node", "label", F.least("next", F.coalesce("far", "next")).alias("next")))
-        labels = moved.select("node", F.col("next").alias("label"))
-        if moved.where("next <> label").isEmpty():
-            return labels
+def _labels(pdf: pd.DataFrame) -> pd.DataFrame:
+    """(node, label) of a bucket's edges: a root hooks on to the least root next to it, then
+    all move to their root, until no edge joins two roots."""
+    nodes, at = np.unique(np.concatenate([pdf["a"].to_numpy(), pdf["b"].to_numpy()]), return_inverse=True)
+    a, b = at[: len(pdf)], at[len(pdf) :]
+    root = np.arange(len(nodes))
+    while len(a):
+        x, y = root[a], root[b]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root = root[root]
+        apart = root[a] != root[b]
+        a, b = a[apart], b[apart]
+    return pd.DataFrame({"node": nodes, "label": nodes[root]})
+
+
+def components(edges: DataFrame, buckets: int = 1) -> DataFrame:
+    """(node, label): the least node connected to each node of edges (key, a, b), of which
+    connected ones have one key. A bucket of keys is settled in one task, so the number of
+    jobs doesn't follow the length of chains. (Joins repeated until nothing moves take a
+    round for every few links, and the optimizer's size of each round is the product of the
+    one before with itself: a number that fills the driver's memory.)"""
+    of = edges.select(F.pmod("key", F.lit(buckets)).alias("bucket"), "a", "b")
+    return cut(of.groupBy("bucket").applyInPandas(lambda pdf: _labels(pdf), "node long, label long"))
 
 
 # -- store -------------------------------------------------------------------------------
@@ -313,13 +323,15 @@ class RecordingStore:
         rows = flat.count()
         if not rows:
             return keyed.select("id", F.col("id").alias("recording_id"))
-        known = flat.select("fp", "topic", "n", F.col("id").alias("node"))
+        key = F.xxhash64("context").alias("key")
+        flat_of = flat.select("fp", key, "topic", "n", "id")
+        known = flat_of.withColumnRenamed("id", "node")
         if runs:
-            known = known.unionByName(self._stored(flat, rows, version, runs).select("fp", "topic", "n", F.col("recording_id").alias("node")))
-        other = known.select("fp", F.col("topic").alias("k_topic"), F.col("n").alias("k_n"), "node")
-        pairs = flat.join(other, "fp").where("node <> id").groupBy("id", "topic", "n", "node", "k_topic", "k_n").agg(F.count("*").alias("shared"))
+            known = known.unionByName(self._stored(flat, rows, version, runs).select("fp", key, "topic", "n", F.col("recording_id").alias("node")))
+        other = known.select("fp", "key", F.col("topic").alias("k_topic"), F.col("n").alias("k_n"), "node")
+        pairs = flat_of.join(other, ["fp", "key"]).where("node <> id").groupBy("key", "id", "topic", "n", "node", "k_topic", "k_n").agg(F.count("*").alias("shared"))
         pairs = pairs.where((F.col("shared") >= least_coverage * F.least("n", "k_n")) & _same(F.col("topic"), F.col("k_topic")))
-        labels = components(pairs.select(F.col("id").alias("a"), F.col("node").alias("b")))
+        labels = components(pairs.select("key", F.col("id").alias("a"), F.col("node").alias("b")), max(1, -(-rows // self.part_rows)))
         own = records.join(labels, F.col("id") == F.col("node"), "left").select("context", "topic", F.col("id").alias("root"), F.coalesce("label", "id").alias("recording_id"))
         out = cut(keyed.join(own, ["context", "topic"]).select("id", "recording_id"))
         ids = keyed.select(F.col("id").alias("node"))

@@ -320,6 +320,48 @@ def test_store_is_opened_again(spark, tmp_path):
     assert [r.recording_id for r in again.admit(other).collect()] == [50]
 
 
+@pytest.mark.parametrize("buckets", [1, 3])
+def test_components_equal_search(spark, buckets):
+    rng = random.Random(5)
+    edges = [(key, *(key * 1000 + rng.randrange(80) for _ in "ab")) for key in range(-2, 6) for _ in range(40)]
+    near = defaultdict(set)
+    for _, a, b in edges:
+        near[a].add(b), near[b].add(a)
+    want = {}
+    for node in sorted(near):
+        reached = [] if node in want else [node]
+        while reached:
+            if (n := reached.pop()) not in want:
+                want[n] = node
+                reached += near[n]
+    got = recordings.components(spark.createDataFrame(edges, "key long, a long, b long"), buckets).collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == set(want.items())
+
+
+def test_long_chain_of_misreadings_takes_no_more_jobs(spark, monkeypatch):
+    """Each topic is an edit from the next; joins repeated until nothing moves took a round for every few of them."""
+    rng, word, topics = random.Random(3), list("abcdefghijklmnopqrst"), []
+    for i in range(400):
+        word[i % 20] = chr(97 + (ord(word[i % 20]) - 97 + 7) % 26)
+        topics.append("".join(word))
+    ids = rng.sample(range(1, 401), 400)
+    df = spark.createDataFrame([(i, "house", "1", t, "", dt.date(2020, 1, 2)) for i, t in zip(ids, topics)], "id int, chamber string, body string, topic string, portion string, day date")
+    cuts, real = [], recordings.cut
+
+    def counted(*args):
+        assert len(cuts) < 12, "rounds follow the chain"
+        cuts.append(real(*args))
+        return cuts[-1]
+
+    monkeypatch.setattr(recordings, "cut", counted)
+    store = recordings.RecordingStore(spark)
+    odd = F.col("id") % 2 == 1
+    apart = {r.recording_id for r in store.admit(df.where(odd)).collect()}
+    cuts.clear()
+    store.admit(df.where(~odd))
+    assert len(apart) > 1 and {r.recording_id for r in store.members().collect()} == {1}
+
+
 # -- 9: subjects -------------------------------------------------------------------------
 
 
